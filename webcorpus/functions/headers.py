@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from webcorpus.functions.text import trim_ws
+from webcorpus.functions.text import let, trim_ws
 
 VERSION = "WARC/1.0"
 
@@ -43,10 +43,13 @@ def header_map(block: Column) -> Column:
     Repeats are removed here, so ``spark.sql.mapKeyDedupPolicy`` does not matter; the quadratic
     removal runs only for records that do repeat a header.
     """
-    entries = header_entries(block)
-    keys = F.transform(entries, lambda e: e["key"])
-    repeated = F.size(F.array_distinct(keys)) < F.size(keys)
-    return F.map_from_entries(F.when(repeated, last_wins(entries)).otherwise(entries))
+
+    def build(entries: Column) -> Column:
+        keys = F.transform(entries, lambda e: e["key"])
+        repeated = F.size(F.array_distinct(keys)) < F.size(keys)
+        return F.map_from_entries(F.when(repeated, last_wins(entries)).otherwise(entries))
+
+    return let(header_entries(block), build)
 
 
 def decode_content(content: Column, charset: str = "ISO-8859-1") -> Column:

@@ -176,6 +176,10 @@ def _normalise_other(urls: pd.Series) -> pd.Series:
     return urls.map(lambda url: None if url is None else normalise(url))
 
 
+# Keeps filters on parsed values above the projection that parses, so nothing is parsed twice.
+_normalise_other = _normalise_other.asNondeterministic()
+
+
 def normalise_url(col: Column) -> Column:
     """Absolute URL -> normal form by the WHATWG rules, NULL for anything else.
 

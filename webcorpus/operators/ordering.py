@@ -152,9 +152,9 @@ def nth_smallest(df: DataFrame, column: str, n: int, fan_out: int = 1024) -> int
         return None
     while low < high:
         width = -(-(high - low + 1) // fan_out)
-        part = F.floor((F.col(column) - low) / F.lit(width)) if width < 1 << 20 else F.expr(f"(`{column}` - {low}L) div {width}L")
+        part = F.expr(f"(`{column}` - ({low}L)) div {width}L")
         counts = dict(
-            df.filter(F.col(column).between(low, high)).groupBy(part.cast("bigint").alias("part")).count().collect()
+            df.filter(F.col(column).between(low, high)).groupBy(part.alias("part")).count().collect()
         )
         for p in sorted(counts):
             if n <= counts[p]:

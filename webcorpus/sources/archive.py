@@ -264,10 +264,8 @@ def split_payloads(objects: DataFrame, framing: str = "standard", with_content:
 
 
 def attach_objects(records: DataFrame, objects: DataFrame) -> DataFrame:
-    """Replace ``path`` by the object's key and index. ``objects`` holds the scanned files only
-    (a window of the listing), so it is far below the broadcast limit; no hint is given and the
-    planner checks its size."""
-    return records.join(objects.select("path", "object_key", "object_index"), "path").drop("path")
+    """Replace ``path`` by the other columns of ``objects``: key, index and what else it holds."""
+    return records.join(objects, "path").drop("path")
 
 
 def attach_header_record(records: DataFrame, key: str = "object_key") -> DataFrame:
@@ -288,9 +286,12 @@ def to_pairs(records: DataFrame) -> DataFrame:
 
     A first record that cannot be read stays, as the only row of its object, to be rejected.
     """
+    # Always true, but not for the optimizer to decide: filters on the maps stay above this
+    # projection, so each map is built once per record.
+    once = F.monotonically_increasing_id() >= 0
     return (
         records.filter("record_idx > 0 OR parse_error IS NOT NULL")
-        .withColumn("headers", header_map(F.col("header")))
-        .withColumn("info_headers", header_map(F.col("info_header")))
+        .withColumn("headers", F.when(once, header_map(F.col("header"))))
+        .withColumn("info_headers", F.when(once, header_map(F.col("info_header"))))
         .drop("header", "info_header")
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from webcorpus.functions.keys import ALIASES, COLLECTIONS, object_key
@@ -30,20 +30,18 @@ def crawls(spark: SparkSession, prefixes=CRAWLS_2024) -> DataFrame:
     return spark.createDataFrame(list(enumerate(prefixes)), "crawl_seq INT, prefix STRING")
 
 
-def join_path(base: str, path: Column) -> Column:
-    return F.concat(F.lit(base.rstrip("/") + "/"), path)
-
-
-def read_path_manifest(spark: SparkSession, base: str, kind: str, prefixes=CRAWLS_2024) -> DataFrame:
+def read_path_manifest(
+    spark: SparkSession, base: str, kind: str, prefixes=CRAWLS_2024, name: str = "{kind}.paths.gz"
+) -> DataFrame:
     """``<prefix>/<kind>.paths.gz`` of every crawl -> ``(crawl_seq, line_no, path)``.
 
     ``kind`` is ``warc`` or ``wet``. A manifest is one gzip file and so one task, whose row ids
     rise in line order.
     """
-    files = [f"{base.rstrip('/')}/{prefix}/{kind}.paths.gz" for prefix in prefixes]
+    files = [f"{base.rstrip('/')}/{prefix}/{name.format(kind=kind)}" for prefix in prefixes]
     file = F.col("_metadata.file_path")
     seq = F.coalesce(
-        *[F.when(file.contains(f"/{prefix}/{kind}.paths"), F.lit(i)) for i, prefix in enumerate(prefixes)]
+        *[F.when(file.contains(f"/{prefix}/"), F.lit(i)) for i, prefix in enumerate(prefixes)]
     )
     lines = (
         spark.read.option("lineSep", "\n").text(files)
