@@ -126,7 +126,7 @@ def wet_rows(documents: DataFrame) -> DataFrame:
     languages = F.when(d % 3 == 0, F.col("lang")).when(d % 3 == 1, F.concat("lang", F.lit(" , eng")))
     headers = {
         "WARC-Type": F.lit("conversion"),
-        "WARC-Target-URI": F.format_string("http://%s.example.com/%d", "source", d),
+        "WARC-Target-URI": F.format_string("http://source.example.com/%d", d),
         "WARC-Date": F.concat(instant(d), F.lit("Z")),
         "WARC-Record-ID": urn(F.col("text")),
         "WARC-Refers-To": urn(d + 1),
@@ -141,8 +141,10 @@ def wet_rows(documents: DataFrame) -> DataFrame:
 
 def write_archives(rows: DataFrame, path: str) -> None:
     """One gzip archive per object, streamed by the text writer in record order."""
+    # A stated width, so that small tables are not written by one task.
+    width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (
-        rows.repartition("object_index").sortWithinPartitions("object_index", "record_idx")
+        rows.repartition(width, "object_index").sortWithinPartitions("object_index", "record_idx")
         .select("object_index", "value")
         .write.partitionBy("object_index").option("lineSep", "\r\n\r\n").option("compression", "gzip").text(path)
     )

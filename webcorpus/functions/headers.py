@@ -40,8 +40,9 @@ def last_wins(entries: Column) -> Column:
 def header_map(block: Column) -> Column:
     """Header block -> MAP. Split at the first colon, both sides trimmed, the last repeat wins.
 
-    Repeats are removed here, so ``spark.sql.mapKeyDedupPolicy`` does not matter; the quadratic
-    removal runs only for records that do repeat a header.
+    For header blocks kept as text; the archive scan hands over maps already. Repeats are removed
+    here, so ``spark.sql.mapKeyDedupPolicy`` does not matter; the quadratic removal runs only for
+    blocks that do repeat a header.
     """
 
     def build(entries: Column) -> Column:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -60,7 +58,7 @@ def _summarise(cap: int):
     the rest follows from i alone. Rows: for f up to ``upto``, ``opened`` bodies open and the
     last is filled to ``fill`` (or, when none opens, grows by ``fill``)."""
 
-    def run(key, table: pa.Table) -> pa.Table:
+    def run(key: tuple, table: pa.Table) -> pa.Table:
         table = table.sort_by("record_idx")
         opened, fill, prefix = _chain(table["n_bytes"].to_numpy(), cap)
         # Entry i is met for cap - prefix[i+1] < f <= cap - prefix[i]; the last row is i = n.
@@ -89,7 +87,7 @@ def _summarise(cap: int):
 _ENTRY = "object_key STRING, segment BIGINT, start_batch BIGINT, start_fill BIGINT"
 
 
-def _enter(key, table: pa.Table) -> pa.Table:
+def _enter(key: tuple, table: pa.Table) -> pa.Table:
     """Step tables of one object's segments -> batch number and fill at each segment's start."""
     table = table.sort_by([("segment", "ascending"), ("upto", "ascending")])
     segment, upto, opened, fill = (table[c].to_numpy() for c in ("segment", "upto", "opened", "fill"))

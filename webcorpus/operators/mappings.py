@@ -113,10 +113,6 @@ WARC_SCHEMA = StructType(
 RAW_SCHEMA = StructType()
 
 
-def _header(name: str, of: str = "headers") -> Column:
-    return F.col(of)[name]
-
-
 @dataclass(frozen=True)
 class _Parsed:
     """One parsed header: the reject reason it can give and how to parse it."""
@@ -178,12 +174,12 @@ _INFO_PLAIN = {
 }
 
 
-def _missing_reason(headers: str, required: list[str], label: str) -> Column:
+def _missing_reason(of: str, label: str, present: list[Column], required: list[str]) -> Column:
     """``missing <label>: a,b``, or NULL when every header is there."""
-    # The usual case costs one lookup per name; the list is built for bad records only.
-    complete = reduce(lambda a, b: a & b, [_header(name, headers).isNotNull() for name in required])
-    gone = F.array_join(missing_headers(F.col(headers), required), ",")
-    return F.when(F.col(headers).isNull(), F.lit(f"missing {label}")).when(
+    # The usual case only tests values at hand; the list is built for bad records.
+    complete = reduce(lambda a, b: a & b, [value.isNotNull() for value in present])
+    gone = F.array_join(missing_headers(F.col(of), required), ",")
+    return F.when(F.col(of).isNull(), F.lit(f"missing {label}")).when(
         ~complete, F.concat(F.lit(f"missing {label}: "), gone)
     )
 
@@ -194,41 +190,52 @@ def _typed(
     parsed: list[_Parsed],
     plain: dict[str, str],
     schema: StructType,
-    special: dict[str, Column],
+    lists: dict[str, str],
     charset: str,
 ) -> DataFrame:
+    """Three projections: look the headers up, parse them, build reason and document."""
     keys = [k for k in KEYS if k in pairs.columns]
-    values = pairs.select(
-        *keys, "content", "info_content", "headers", "info_headers", "parse_error",
-        *[p.parse(_header(p.header, p.source)).alias(f"_{p.field}") for p in parsed],
+    carried = [*keys, "content", "info_content", "parse_error", "headers", "info_headers"]
+    wanted = {("headers", h) for h in [*required, *plain.values(), *lists.values()]}
+    wanted |= {("info_headers", h) for h in [*INFO_REQUIRED, *_INFO_PLAIN.values()]}
+    wanted |= {(p.source, p.header) for p in parsed}
+    name = {pair: f"_{pair[0][0]}_{pair[1]}" for pair in wanted}
+
+    def at(header: str, source: str = "headers") -> Column:
+        return F.col(f"`{name[source, header]}`")
+
+    found = pairs.select(
+        *carried, *[F.try_element_at(F.col(of), F.lit(h)).alias(name[of, h]) for of, h in sorted(wanted)]
+    )
+    values = found.select(
+        "*", *[p.parse(at(p.header, p.source)).alias(f"_{p.field}") for p in parsed]
     )
     bad = [
-        F.when(_header(p.header, p.source).isNotNull() & F.col(f"_{p.field}").isNull(), F.lit(f"bad {p.field}"))
+        F.when(at(p.header, p.source).isNotNull() & F.col(f"_{p.field}").isNull(), F.lit(f"bad {p.field}"))
         for p in parsed
     ]
     reason = F.coalesce(
         F.concat(F.lit("parse: "), F.col("parse_error")),
-        _missing_reason("headers", required, "header"),
-        _missing_reason("info_headers", INFO_REQUIRED, "info header"),
+        _missing_reason("headers", "header", [at(h) for h in required], required),
+        _missing_reason("info_headers", "info header", [at(h, "info_headers") for h in INFO_REQUIRED], INFO_REQUIRED),
         *bad,
     )
     columns: dict[str, Column] = {
         "content": decode_content(F.col("content"), charset),
-        **{field: _header(name) for field, name in plain.items()},
+        **{field: at(header) for field, header in plain.items()},
+        **{field: language_list(at(header)) for field, header in lists.items()},
         **{p.field: F.col(f"_{p.field}") for p in parsed if p.source == "headers"},
-        **special,
     }
     info: dict[str, Column] = {
         "content": decode_content(F.col("info_content"), charset),
-        **{field: _header(name, "info_headers") for field, name in _INFO_PLAIN.items()},
+        **{field: at(header, "info_headers") for field, header in _INFO_PLAIN.items()},
         **{p.field.removeprefix("info_"): F.col(f"_{p.field}") for p in _INFO_PARSED},
     }
     columns["warc_info"] = F.struct(*[info[f.name].alias(f.name) for f in INFO_SCHEMA])
     doc = F.struct(*[columns[f.name].alias(f.name) for f in schema])
-    return (
-        values.withColumn("reject_reason", reason)
-        .withColumn("doc", F.when(F.col("reject_reason").isNull(), doc))
-        .select(*keys, F.col("doc.record_id").alias("doc_id"), "doc", "reject_reason")
+    ok = F.col("reject_reason").isNull()
+    return values.withColumn("reject_reason", reason).select(
+        *keys, F.when(ok, F.col("_record_id")).alias("doc_id"), F.when(ok, doc).alias("doc"), "reject_reason"
     )
 
 
@@ -240,9 +247,8 @@ def map_warc(pairs: DataFrame, charset: str = "ISO-8859-1") -> DataFrame:
 
 def map_wet(pairs: DataFrame, charset: str = "ISO-8859-1") -> DataFrame:
     """Extracted-text records -> typed documents."""
-    languages = language_list(_header("WARC-Identified-Content-Language"))
-    special = {"identified_content_language": languages}
-    return _typed(pairs, WET_REQUIRED, _WET_PARSED, _WET_PLAIN, WET_SCHEMA, special, charset)
+    lists = {"identified_content_language": "WARC-Identified-Content-Language"}
+    return _typed(pairs, WET_REQUIRED, _WET_PARSED, _WET_PLAIN, WET_SCHEMA, lists, charset)
 
 
 def _record_json(headers: str, content: str, charset: str) -> Column:
@@ -257,7 +263,7 @@ def map_raw(pairs: DataFrame, charset: str = "ISO-8859-1") -> DataFrame:
     keys = [k for k in KEYS if k in pairs.columns]
     reason = F.coalesce(
         F.concat(F.lit("parse: "), F.col("parse_error")),
-        _missing_reason("headers", ["WARC-Record-ID"], "header"),
+        _missing_reason("headers", "header", [F.col("_id")], ["WARC-Record-ID"]),
     )
     doc = F.to_json(
         F.struct(
@@ -265,9 +271,10 @@ def map_raw(pairs: DataFrame, charset: str = "ISO-8859-1") -> DataFrame:
             _record_json("info_headers", "info_content", charset).alias("warc_info"),
         )
     )
-    return pairs.withColumn("reject_reason", reason).select(
+    found = pairs.withColumn("_id", F.try_element_at("headers", F.lit("WARC-Record-ID")))
+    return found.withColumn("reject_reason", reason).select(
         *keys,
-        F.when(F.col("reject_reason").isNull(), _header("WARC-Record-ID")).alias("doc_id"),
+        F.when(F.col("reject_reason").isNull(), F.col("_id")).alias("doc_id"),
         F.when(F.col("reject_reason").isNull(), doc).alias("doc"),
         "reject_reason",
     )

@@ -141,7 +141,7 @@ def seeded_order(df: DataFrame, seed: int = SHUFFLE_SEED, method: str = "swap",
     return dense_index(keyed, ["_key", "listed"], index).drop("_key")
 
 
-def nth_smallest(df: DataFrame, column: str, n: int, fan_out: int = 1024) -> int | None:
+def nth_smallest(df: DataFrame, column: str, n: int, fan_out: int = 1 << 14) -> int | None:
     """The n-th smallest (from 1) of a BIGINT column with possible repeats; None beyond the end.
 
     Counting passes: each one splits the interval that holds the answer into ``fan_out`` parts

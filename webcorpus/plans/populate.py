@@ -19,13 +19,16 @@ from webcorpus.operators.selection import (
     with_progress,
 )
 from webcorpus.plans import files
-from webcorpus.plans.store import Index
+from webcorpus.plans.store import RUN_PROGRESS, Index
 from webcorpus.sources.archive import attach_objects, read_archives, read_objects, split_payloads, to_pairs
 
-# Objects per run: what is listed on the driver at once, and what a failure can cost.
+# Objects per run: what the driver lists at once, and what a failure can cost.
 WINDOW = 4096
 FIRST_WINDOW = 8
 
+# Positions to leave out are broadcast up to this many, longs only; beyond it they are joined.
+BROADCAST_ROWS = 500_000
+
 
 @dataclass
 class Outcome:
@@ -38,22 +41,23 @@ class Outcome:
     failed: int = 0
     rejected: int = 0
 
-    def add(self, row: dict) -> None:
+    def add(self, counts: dict) -> None:
         self.runs += 1
-        for name in ("objects", *COUNTS):
-            setattr(self, name, getattr(self, name) + (row[name] or 0))
+        for name, count in counts.items():
+            setattr(self, name, getattr(self, name) + count)
 
 
 WINDOW_SCHEMA = "object_key STRING, object_index BIGINT, path STRING, next_record_idx BIGINT"
 
 
-def window_of(index: Index, rows: list, base: str = "") -> DataFrame:
-    """Collected object rows with their state, at most one window of them, as a small table."""
+def window_of(index: Index, rows: list, base: str = "") -> tuple[DataFrame, list[str]]:
+    """Collected object rows with their state, at most one window of them, as a small table, and
+    their full paths."""
     base = f"{base.rstrip('/')}/" if base else ""
     full = [r.path if r.path.startswith("/") or ":/" in r.path else base + r.path for r in rows]
     paths = files.qualify(index.spark, full)
     data = [(r.object_key, r.object_index, path, r.next_record_idx) for r, path in zip(rows, paths)]
-    return index.spark.createDataFrame(data, WINDOW_SCHEMA)
+    return index.spark.createDataFrame(data, WINDOW_SCHEMA), paths
 
 
 def scan_objects(
@@ -101,48 +105,43 @@ def ingest(index: Index, window: DataFrame, mapped: DataFrame, budget: int | Non
     kept, cut = limit_new(new, budget)
     kept = write(kept, folder("ids"))
 
-    reason, parse = F.col("reject_reason"), F.lit("parse: ")
-    states = outcomes(staged.select("object_key", "record_idx", "pos", "reject_reason"), kept)
-    states = states.withColumn(
-        "outcome", F.when(reason.isNull(), F.col("outcome")).otherwise(F.lit("rejected"))
-    ).withColumn("parse_error", F.when(reason.startswith(parse), reason))
-    if cut is not None:
-        # The cut falls on the last created document; what follows it waits for the next run.
-        states = states.withColumn("outcome", F.when(F.col("pos") <= cut, F.col("outcome")))
-
-    lost = states.filter("outcome = 'already_exists'").select("pos")
-    lost = write(lost, folder("lost"))
-    data = "staged"
-    if cut is not None or not lost.isEmpty():
-        data = "kept"
-        within = staged if cut is None else staged.filter(F.col("pos") <= cut)
-        # Stored, so the planner knows its size and broadcasts it only when small.
-        final = within.join(lost, "pos", "left_anti")
-        final.write.mode("overwrite").option("compression", index.compression).parquet(folder("docs", "/data=kept"))
+    reason = F.col("reject_reason")
+    states = outcomes(staged.select("object_key", "record_idx", "pos", "reject_reason"), kept).select(
+        "object_key", "record_idx", "pos",
+        F.when(reason.isNull(), F.col("outcome")).otherwise(F.lit("rejected")).alias("outcome"),
+        F.when(reason.startswith("parse: "), reason).alias("parse_error"),
+    )
+    states = write(states, folder("states"))
 
     # An object without any record left is finished too, unless the budget ended before it.
     reached = window if cut is None else window.filter(position(F.col("object_index"), F.lit(0)) <= cut)
-    delta = object_progress(states, cut)
+    seen = object_progress(states, cut)
     empty = reached.join(states.select("object_key").distinct(), "object_key", "left_anti").select(
         "object_key", "next_record_idx", F.lit(True).alias("done"),
         *[F.lit(0).cast("bigint").alias(c) for c in COUNTS],
     )
-    delta = (
-        delta.unionByName(empty)
-        .withColumn("index_uuid", F.lit(index.uuid))
-        .withColumn("run_id", F.lit(run).cast("bigint"))
-        .withColumn("data", F.lit(data))
-        .withColumn("cut", F.lit(cut).cast("bigint"))
-    )
-    delta.write.mode("overwrite").parquet(folder("progress"))
-    for kind in ("new", "lost"):
+    rows = [row.asDict() for row in seen.unionByName(empty).collect()]  # at most one per object of the window
+    totals = {c: sum(row[c] for row in rows) for c in COUNTS}
+
+    data = "staged"
+    if cut is not None or totals["already_exists"]:
+        data = "kept"
+        # The cut falls on the last created document; what follows it waits for the next run.
+        within = F.lit(True) if cut is None else F.col("pos") <= cut
+        lost = states.filter(within & (F.col("outcome") == "already_exists")).select("pos")
+        if totals["already_exists"] <= BROADCAST_ROWS:
+            lost = F.broadcast(lost)
+        final = staged.filter(within).join(lost, "pos", "left_anti")
+        final.write.mode("overwrite").option("compression", index.compression).parquet(folder("docs", "/data=kept"))
+
+    # Written last: from here on the run counts.
+    progress = [{**row, "index_uuid": index.uuid, "run_id": run, "data": data, "cut": cut} for row in rows]
+    spark.createDataFrame(progress, RUN_PROGRESS).coalesce(1).write.mode("overwrite").parquet(folder("progress"))
+    for kind in ("new", "states"):
         files.remove(spark, folder(kind))
     if data == "kept":
         files.remove(spark, folder("docs", "/data=staged"))
-    totals = spark.read.parquet(folder("progress")).agg(
-        F.count("*").alias("objects"), *[F.sum(c).alias(c) for c in COUNTS]
-    )
-    return totals.first().asDict()
+    return {"objects": len(rows), **totals}
 
 
 def populate(
@@ -158,12 +157,12 @@ def populate(
     """Add ``n`` new documents (all when None) in visit order, going on where the last run stopped.
 
     ``objects``: object_key, object_index, path (below ``base`` unless absolute). Objects are taken in windows, each one run with
-    its own commit. With a budget the windows start small and double, so objects beyond the
-    budget are not read; the result does not depend on the window sizes. ``whole`` reads objects
+    its own commit. With a budget the windows start small and follow what is still needed, so
+    few objects beyond the budget are read; the result does not depend on the window sizes. ``whole`` reads objects
     as single payloads, for files without a ``.gz`` name.
     """
     done = Outcome()
-    last, size = -1, window if n is None else min(FIRST_WINDOW, window)
+    last, seen, size = -1, 0, window if n is None else min(FIRST_WINDOW, window)
     state = index.progress()
     pending = with_progress(pending_objects(objects, state), state)
     while n is None or done.created < n:
@@ -173,11 +172,15 @@ def populate(
         )  # at most one window
         if not batch:
             break
-        listed = window_of(index, batch, base)
-        paths = [row.path for row in listed.collect()]
+        listed, paths = window_of(index, batch, base)
         mapped = scan_objects(index, listed, paths, framing, whole)
         done.add(ingest(index, listed, mapped, None if n is None else n - done.created))
-        last, size = batch[-1].object_index, min(size * 2, window)
+        last = batch[-1].object_index
+        if n is not None:
+            # As many objects as the rest of the budget should need, going by what they gave so far.
+            seen += len(batch)
+            wanted = -(-(n - done.created) * seen // done.created) if done.created else 2 * size
+            size = max(FIRST_WINDOW, min(wanted, window))
     if refresh:
         index.refresh()
     return done

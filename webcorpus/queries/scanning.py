@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webcorpus import fixtures
-from webcorpus.functions.headers import decode_content, header_map, missing_headers
+from webcorpus.functions.headers import decode_content, missing_headers
 from webcorpus.functions.parsers import render_rfc3339
 from webcorpus.operators import mappings as maps
 from webcorpus.operators.progress import object_progress
@@ -52,7 +52,7 @@ def record_scan(spark: SparkSession, sf: str) -> DataFrame:
     return _scan(spark, sf, "warc").filter("record_idx > 0").select(
         "object_key", "object_index", "record_idx", "content_bytes", "parse_error",
         F.md5("content").alias("content_md5"),
-        header_map(F.col("header"))["WARC-Type"].alias("warc_type"),
+        F.col("headers")["WARC-Type"].alias("warc_type"),
     )
 
 
@@ -86,7 +86,7 @@ FROM wet
 def header_scan(spark: SparkSession, sf: str) -> DataFrame:
     """A7 without content: header names per record"""
     rows = _scan(spark, sf, "wet", with_content=False).filter("record_idx > 0")
-    headers = header_map(F.col("header"))
+    headers = F.col("headers")
     names = F.array_join(missing_headers(headers, ["WARC-Identified-Content-Language", "WARC-Truncated"]), ",")
     return rows.select("object_key", "record_idx", "content_bytes", names.alias("missing"), F.size(headers).alias("headers"))
 
@@ -106,7 +106,7 @@ def header_attach(spark: SparkSession, sf: str) -> DataFrame:
     _scan(spark, sf, "warc").drop("content").write.parquet(path)
     stored = spark.read.parquet(path).withColumn("content", F.col("info_content"))
     rows = archive.attach_header_record(stored)
-    info = header_map(F.col("info_header"))
+    info = F.col("info_headers")
     return rows.select(
         "object_key", "record_idx", info["WARC-Filename"].alias("filename"), info["WARC-Type"].alias("header_record_type")
     )

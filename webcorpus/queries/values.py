@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webcorpus.fixtures import table, urn
@@ -11,6 +13,11 @@ from webcorpus.operators import mappings as maps
 from webcorpus.queries import sql
 
 
+def _parsed(df: DataFrame, key: str, value: Column, parse: Callable[[Column], Column], out: str) -> DataFrame:
+    """Build the text column first, then parse it, as two steps."""
+    return df.select(key, value.alias("value")).select(key, parse(F.col("value")).alias(out))
+
+
 def parse_urns(spark: SparkSession, sf: str) -> DataFrame:
     """B3"""
     k = F.col("o_orderkey")
@@ -24,7 +31,7 @@ def parse_urns(spark: SparkSession, sf: str) -> DataFrame:
         .when(k % 7 == 6, F.lit(""))
         .otherwise(good)
     )
-    return table(spark, sf, "orders").select("o_orderkey", parsers.parse_urn_uuid(value).alias("uuid"))
+    return _parsed(table(spark, sf, "orders"), "o_orderkey", value, parsers.parse_urn_uuid, "uuid")
 
 
 PARSE_URNS = f"""
@@ -41,7 +48,7 @@ def parse_lengths(spark: SparkSession, sf: str) -> DataFrame:
         .when(k % 7 == 3, F.concat(F.lit("-"), text)).when(k % 7 == 4, F.concat(text, F.lit(".0")))
         .when(k % 7 == 5, F.lpad(text, 15, "0")).when(k % 7 == 6, F.lit("99999999999999999999999")).otherwise(text)
     )
-    return table(spark, sf, "orders").select("o_orderkey", parsers.parse_length(value).alias("length"))
+    return _parsed(table(spark, sf, "orders"), "o_orderkey", value, parsers.parse_length, "length")
 
 
 PARSE_LENGTHS = """
@@ -52,8 +59,7 @@ SELECT o_orderkey, CASE WHEN o_orderkey % 7 IN (0, 1, 5) THEN o_orderkey END AS
 def parse_dates(spark: SparkSession, sf: str) -> DataFrame:
     """Offsets, fractions, missing zones and impossible days"""
     k = F.col("event_id")
-    # Wall-clock text of the event time, whatever zone the session is in.
-    wall = F.regexp_replace(F.left(parsers.render_rfc3339(F.col("ts")), F.lit(19)), "Z", "")
+    wall = F.col("wall")
     value = (
         F.when(k % 8 == 0, F.concat(wall, F.lit("Z")))
         .when(k % 8 == 1, F.concat(wall, F.lit("+05:30")))
@@ -64,10 +70,11 @@ def parse_dates(spark: SparkSession, sf: str) -> DataFrame:
         .when(k % 8 == 6, F.lit("2023-02-29T00:00:00Z"))
         .otherwise(F.concat(F.left(wall, F.lit(17)), F.lit("60Z")))
     )
-    return (
-        table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-        .select("event_id", parsers.render_rfc3339(parsers.parse_rfc3339(value)).alias("date"))
-    )
+    # Wall-clock text of the event time, whatever zone the session is in.
+    seconds = F.left(parsers.render_rfc3339(F.col("ts").cast("timestamp")), F.lit(19))
+    events = table(spark, sf, "events").withColumn("wall", seconds)
+    dates = _parsed(events, "event_id", value, parsers.parse_rfc3339, "ts")
+    return dates.select("event_id", parsers.render_rfc3339(F.col("ts")).alias("date"))
 
 
 PARSE_DATES = """
@@ -100,7 +107,7 @@ def parse_ips(spark: SparkSession, sf: str) -> DataFrame:
         .when(k % 10 == 8, fmt("fe80::%x%%eth0", a))
         .otherwise(fmt("1:0:%x:0:0:0:5:6", b + 1))
     )
-    return table(spark, sf, "orders").select("o_orderkey", parsers.parse_ip(value).alias("ip"))
+    return _parsed(table(spark, sf, "orders"), "o_orderkey", value, parsers.parse_ip, "ip")
 
 
 PARSE_IPS = """
@@ -132,7 +139,7 @@ def normalise_urls(spark: SparkSession, sf: str) -> DataFrame:
         .when(p % 9 == 8, fmt("http://exa mple.com/%d", p))
         .otherwise(F.col("url"))
     )
-    return table(spark, sf, "pages").select("page_id", parsers.normalise_url(value).alias("url"))
+    return _parsed(table(spark, sf, "pages"), "page_id", value, parsers.normalise_url, "url")
 
 
 NORMALISE_URLS = """

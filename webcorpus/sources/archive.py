@@ -3,8 +3,8 @@
 Spark reads and inflates the files as fragments cut at the version line; the fragments of a
 gzip file reach one task in file order. A streaming splitter in that task puts them back
 together by the declared content lengths, which is exact also when a payload holds a version
-line itself, numbers the records, and carries each file's first record along. Headers stay one
-block of text; everything after is Column expressions.
+line itself, numbers the records, and carries each file's first record along. Headers become one
+map per record; everything after is Column expressions.
 """
 
 from __future__ import annotations
@@ -17,11 +17,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webcorpus.functions.headers import header_map
+from webcorpus.functions.headers import VERSION
 from webcorpus.functions.text import WHITESPACE
 
 # Fixed value: the version line, and with it the cut between fragments.
-VERSION_LINE = b"WARC/1.0"
+VERSION_LINE = VERSION.encode()
 SEPARATOR = VERSION_LINE + b"\r\n"
 
 _BLANK_LINE = re.compile(rb"\n\r*\n")
@@ -29,46 +29,47 @@ _LENGTH = re.compile(r"\+?[0-9]+")
 _BATCH_BYTES = 16 << 20
 
 SPLIT_SCHEMA = """
-    path STRING, record_idx BIGINT, header STRING, content BINARY, content_bytes BIGINT,
-    parse_error STRING, info_header STRING, info_content BINARY
+    path STRING, record_idx BIGINT, headers MAP<STRING, STRING>, content BINARY,
+    content_bytes BIGINT, parse_error STRING, info_headers MAP<STRING, STRING>, info_content BINARY
 """
+_MAP = pa.map_(pa.string(), pa.string())
 _ARROW = pa.schema(
     [
         ("path", pa.string()),
         ("record_idx", pa.int64()),
-        ("header", pa.string()),
+        ("headers", _MAP),
         ("content", pa.binary()),
         ("content_bytes", pa.int64()),
         ("parse_error", pa.string()),
-        ("info_header", pa.string()),
+        ("info_headers", _MAP),
         ("info_content", pa.binary()),
     ]
 )
 
 
-def _check_header(block: bytes) -> tuple[str | None, int, str | None]:
-    """Header bytes -> (text, content length, error)."""
+def _read_header(block: bytes) -> tuple[dict[str, str] | None, int, str | None]:
+    """Header bytes -> (headers, content length, error). The last repeat of a header wins."""
+    headers = {"Version": VERSION}
     try:
         text = block.decode("utf-8")
     except UnicodeDecodeError:
         return None, 0, "header_encoding"
-    length = None
     for line in text.split("\n"):
         key, colon, value = line.partition(":")
-        if not colon:
-            if line.rstrip("\r"):
-                return None, 0, "bad_header_line"
-        elif key.strip(WHITESPACE) == "Content-Length":
-            length = value.strip(WHITESPACE)
+        if colon:
+            headers[key.strip(WHITESPACE)] = value.strip(WHITESPACE)
+        elif line.rstrip("\r"):
+            return None, 0, "bad_header_line"
+    length = headers.get("Content-Length")
     if length is None:
         return None, 0, "missing_content_length"
     if not _LENGTH.fullmatch(length) or int(length) >= 1 << 64:
         return None, 0, "bad_content_length"
-    return text, int(length), None
+    return headers, int(length), None
 
 
 class Splitter:
-    """Bytes of one inflated archive, piece by piece -> ``(header, content, error)`` tuples.
+    """Bytes of one inflated archive, piece by piece -> ``(headers, content, error)`` tuples.
 
     After an error the rest of the archive is dropped. ``framing="reference"`` starts a body at
     the blank line itself, so that content opens with its line break and lacks the last bytes.
@@ -135,7 +136,7 @@ class Splitter:
                 head_end = body = buf.rfind(b"\n") + 1
             else:
                 return self._wait(buf[pos:], 0)
-            header, length, error = _check_header(buf[line_end + 1 : head_end])
+            headers, length, error = _read_header(buf[line_end + 1 : head_end])
             if error:
                 yield self._fail(error)
                 return
@@ -145,10 +146,23 @@ class Splitter:
                     yield self._fail("truncated")
                     return
                 return self._wait(buf[pos:], stop - pos)
-            yield header, buf[body:stop], None
+            yield headers, buf[body:stop], None
             pos, self.seeking, self.at_start = stop, True, True
 
 
+def _maps(dicts) -> pa.MapArray:
+    offsets, keys, values, total = [], [], [], 0
+    for headers in dicts:
+        offsets.append(None if headers is None else total)
+        if headers:
+            keys.extend(headers)
+            values.extend(headers.values())
+            total += len(headers)
+    return pa.MapArray.from_arrays(
+        pa.array([*offsets, total], pa.int32()), pa.array(keys, pa.string()), pa.array(values, pa.string())
+    )
+
+
 class _Rows:
     """Collects record rows into Arrow batches of bounded size."""
 
@@ -161,24 +175,22 @@ class _Rows:
         self.path, self.splitter, self.next_idx, self.info = path, Splitter(framing), 0, (None, None)
 
     def add(self, records: Iterator[tuple]) -> Iterator[pa.RecordBatch]:
-        for header, content, error in records:
+        for headers, content, error in records:
             size = None if content is None else len(content)
             kept = content if self.with_content else None
-            self.rows.append((self.path, self.next_idx, header, kept, size, error, *self.info))
+            self.rows.append((self.path, self.next_idx, headers, kept, size, error, *self.info))
             if self.next_idx == 0 and error is None:
-                self.info = (header, content)
+                self.info = (headers, content)
             self.next_idx += 1
             self.bytes += len(kept or b"") + 1024
             if self.bytes >= _BATCH_BYTES:
                 yield self.flush()
 
     def flush(self) -> pa.RecordBatch:
-        columns = zip(*self.rows) if self.rows else [()] * len(_ARROW)
-        batch = pa.RecordBatch.from_arrays(
-            [pa.array(c, f.type) for c, f in zip(columns, _ARROW)], schema=_ARROW
-        )
+        columns = list(zip(*self.rows)) if self.rows else [()] * len(_ARROW)
+        arrays = [_maps(c) if f.type == _MAP else pa.array(c, f.type) for c, f in zip(columns, _ARROW)]
         self.rows, self.bytes = [], 0
-        return batch
+        return pa.RecordBatch.from_arrays(arrays, schema=_ARROW)
 
 
 def _split_fragments(framing: str, with_content: bool):
@@ -239,8 +251,8 @@ def split_fragments(fragments: DataFrame, framing: str = "standard", with_conten
 def read_archives(spark: SparkSession, paths, framing: str = "standard", with_content: bool = True) -> DataFrame:
     """Gzip archives (``*.gz``) on any Hadoop file system -> record rows, one task per file.
 
-    Columns: path, record_idx (0 is the file's first record), header, content, content_bytes,
-    parse_error, and the first record's header and content on every later row. Without content
+    Columns: path, record_idx (0 is the file's first record), headers, content, content_bytes,
+    parse_error, and the first record's headers and content on every later row. Without content
     only its length comes back.
     """
     fragments = (
@@ -274,24 +286,16 @@ def attach_header_record(records: DataFrame, key: str = "object_key") -> DataFra
     The scan already carries it; from a stored table the small side is one row per object and
     its scan reads row 0 only.
     """
-    plain = records.drop("info_header", "info_content")
+    plain = records.drop("info_headers", "info_content")
     first = plain.filter("record_idx = 0 AND parse_error IS NULL").select(
-        key, F.col("header").alias("info_header"), F.col("content").alias("info_content")
+        key, F.col("headers").alias("info_headers"), F.col("content").alias("info_content")
     )
     return plain.filter("record_idx > 0").join(first, key)
 
 
 def to_pairs(records: DataFrame) -> DataFrame:
-    """Record rows -> documents with parsed header maps; first records are not documents.
+    """Record rows -> documents paired with their file's first record, which is none itself.
 
     A first record that cannot be read stays, as the only row of its object, to be rejected.
     """
-    # Always true, but not for the optimizer to decide: filters on the maps stay above this
-    # projection, so each map is built once per record.
-    once = F.monotonically_increasing_id() >= 0
-    return (
-        records.filter("record_idx > 0 OR parse_error IS NOT NULL")
-        .withColumn("headers", F.when(once, header_map(F.col("header"))))
-        .withColumn("info_headers", F.when(once, header_map(F.col("info_header"))))
-        .drop("header", "info_header")
-    )
+    return records.filter("record_idx > 0 OR parse_error IS NOT NULL")

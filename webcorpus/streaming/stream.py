@@ -45,8 +45,8 @@ def populate_stream(
         known = batch.join(objects.select("object_key", "object_index", "path"), "path")
         rows = with_progress(pending_objects(known, state), state).collect()  # at most max_files
         if rows:
-            window = window_of(index, rows)
-            mapped = scan_objects(index, window, [r.path for r in rows], framing, whole)
+            window, paths = window_of(index, rows)
+            mapped = scan_objects(index, window, paths, framing, whole)
             ingest(index, window, mapped)
 
     return (
