@@ -231,8 +231,8 @@ def _typed(
         **{field: at(header, "info_headers") for field, header in _INFO_PLAIN.items()},
         **{p.field.removeprefix("info_"): F.col(f"_{p.field}") for p in _INFO_PARSED},
     }
-    columns["warc_info"] = F.struct(*[info[f.name].alias(f.name) for f in INFO_SCHEMA])
-    doc = F.struct(*[columns[f.name].alias(f.name) for f in schema])
+    columns["warc_info"] = F.struct(*[info[f.name].alias(f.name, metadata=f.metadata) for f in INFO_SCHEMA])
+    doc = F.struct(*[columns[f.name].alias(f.name, metadata=f.metadata) for f in schema])
     ok = F.col("reject_reason").isNull()
     return values.withColumn("reject_reason", reason).select(
         *keys, F.when(ok, F.col("_record_id")).alias("doc_id"), F.when(ok, doc).alias("doc"), "reject_reason"
@@ -331,11 +331,12 @@ def field_rows(spark: SparkSession, name: str) -> DataFrame:
 
 
 def conform(mapped: DataFrame, schema: StructType) -> DataFrame:
-    """Check and cast the document column against a declaration; metadata comes along."""
-    if not schema.fields:
+    """Check and cast the document column against a declaration; its metadata comes along."""
+    if not schema.fields or mapped.schema["doc"].dataType == schema:
         return mapped
     fields = [StructField(f.name, schema if f.name == "doc" else f.dataType, True) for f in mapped.schema]
-    return mapped.to(StructType(fields))
+    # ``to`` checks names, types and order but keeps no metadata inside structs; the cast does.
+    return mapped.to(StructType(fields)).withColumn("doc", F.col("doc").cast(schema))
 
 
 def admissibility(spark: SparkSession) -> DataFrame:

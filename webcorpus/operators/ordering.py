@@ -72,7 +72,7 @@ def dense_index(df: DataFrame, order: list, out: str = "position") -> DataFrame:
     # One row per partition of the sort.
     base = counts.select("_part", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_base"))
     return (
-        placed.join(base, "_part")
+        placed.join(F.broadcast(base), "_part")
         .withColumn(out, F.col("_base") + F.col("_row"))
         .drop("_part", "_row", "_base")
     )

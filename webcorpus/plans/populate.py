@@ -26,8 +26,8 @@ from webcorpus.sources.archive import attach_objects, read_archives, read_object
 WINDOW = 4096
 FIRST_WINDOW = 8
 
-# Positions to leave out are broadcast up to this many, longs only; beyond it they are joined.
-BROADCAST_ROWS = 500_000
+# Documents a reader may have to leave out, over all runs: so many longs can be broadcast.
+LOST_ROWS = 500_000
 
 
 @dataclass
@@ -80,9 +80,7 @@ def scan_objects(
 def ingest(index: Index, window: DataFrame, mapped: DataFrame, budget: int | None = None) -> dict:
     """Append one window of mapped documents as a run and commit its progress -> its counts.
 
-    The scan is written once; every later step reads a few columns of that table. Content is
-    written a second time only when some of it must be left out: repeated or existing ids, or
-    records beyond the budget.
+    The scan is written once; every later step reads a few columns of that table.
     """
     spark = index.spark
     run = (index.committed() or [0])[-1] + 1
@@ -123,16 +121,19 @@ def ingest(index: Index, window: DataFrame, mapped: DataFrame, budget: int | Non
     rows = [row.asDict() for row in seen.unionByName(empty).collect()]  # at most one per object of the window
     totals = {c: sum(row[c] for row in rows) for c in COUNTS}
 
+    # Repeated and existing ids are left out when reading while they are few in all runs together;
+    # the content is written once more, without them, when they are not, and when the budget was
+    # met. (The cut is the last created document; what follows it waits for the next run.)
     data = "staged"
-    if cut is not None or totals["already_exists"]:
+    within = F.lit(True) if cut is None else F.col("pos") <= cut
+    lost = states.filter(within & (F.col("outcome") == "already_exists")).select("pos")
+    few = index.lost_count() + totals["already_exists"] <= LOST_ROWS
+    if cut is not None or not few:
         data = "kept"
-        # The cut falls on the last created document; what follows it waits for the next run.
-        within = F.lit(True) if cut is None else F.col("pos") <= cut
-        lost = states.filter(within & (F.col("outcome") == "already_exists")).select("pos")
-        if totals["already_exists"] <= BROADCAST_ROWS:
-            lost = F.broadcast(lost)
-        final = staged.filter(within).join(lost, "pos", "left_anti")
+        final = staged.filter(within).join(F.broadcast(lost) if few else lost, "pos", "left_anti")
         final.write.mode("overwrite").option("compression", index.compression).parquet(folder("docs", "/data=kept"))
+    elif totals["already_exists"]:
+        write(lost, folder("lost"))
 
     # Written last: from here on the run counts.
     progress = [{**row, "index_uuid": index.uuid, "run_id": run, "data": data, "cut": cut} for row in rows]

@@ -6,6 +6,7 @@ one and never read.
 
     <root>/catalogue/version=<v>/                       catalogue snapshots
     <root>/indices/<folder>/docs/run_id=<r>/data=<d>/   documents (staged or kept) with rejects
+    <root>/indices/<folder>/lost/run_id=<r>/            positions to leave out of staged documents
     <root>/indices/<folder>/ids/run_id=<r>/             doc_id and position of the created ones
     <root>/indices/<folder>/progress/run_id=<r>/        what the run added per object
 """
@@ -73,8 +74,22 @@ class Index:
             raise ValueError("the index has no committed run")
         return self.spark.read.option("basePath", f"{self.path}/docs").parquet(*kept)
 
+    def _lossy_runs(self) -> DataFrame:
+        """Runs whose data folder still holds documents that were not created, with how many."""
+        counts = self.runs().filter("data = 'staged'").groupBy("run_id").agg(F.sum("already_exists").alias("lost"))
+        return counts.filter("lost > 0")
+
+    def lost_count(self) -> int:
+        return self._lossy_runs().agg(F.sum("lost")).first()[0] or 0
+
     def documents(self) -> DataFrame:
-        return self._data().filter("reject_reason IS NULL").drop("reject_reason", "data")
+        docs = self._data().filter("reject_reason IS NULL").drop("reject_reason", "data")
+        paths = [f"{self.path}/lost/run_id={r.run_id}" for r in self._lossy_runs().collect()]  # one row per run
+        if not paths:
+            return docs
+        # A writer keeps these below LOST_ROWS over all runs, so they can be broadcast.
+        lost = self.spark.read.option("basePath", f"{self.path}/lost").parquet(*paths)
+        return docs.join(F.broadcast(lost), ["run_id", "pos"], "left_anti")
 
     def rejects(self) -> DataFrame:
         """Rejected records, kept for every run. (Runs cut by a budget drop what lies beyond.)"""
