@@ -112,7 +112,7 @@ def test_interrupted_run_leaves_no_trace(spark, index, corpus, monkeypatch):
         m.setattr(plan, "object_progress", crash)
         with pytest.raises(RuntimeError):
             populate(index, listed, base)
-    assert files.exists(spark, f"{index.path}/ids/run_id=2") and stored(index) == before
+    assert files.exists(spark, f"{index.path}/outcomes/run_id=2") and stored(index) == before
     populate(index, listed, base)
     assert stored(index) == expected(objects)
 

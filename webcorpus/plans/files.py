@@ -25,10 +25,22 @@ def remove(spark: SparkSession, path: str) -> bool:
     return fs.delete(jpath, True)
 
 
-def qualify(spark: SparkSession, paths: list[str]) -> list[str]:
-    """Paths as Spark reports them for the files it reads."""
-    out = []
-    for path in paths:
+def qualify(spark: SparkSession, base: str, paths: list[str]) -> list[str]:
+    """Full paths as Spark reports them for the files it reads: relative ones are below ``base``,
+    absolute ones without a scheme on the default file system."""
+
+    def full(path: str) -> str:
         fs, jpath = _fs(spark, path)
-        out.append(fs.makeQualified(jpath).toString())
-    return out
+        return fs.makeQualified(jpath).toString().rstrip("/")
+
+    below = f"{full(base)}/" if base else ""
+    root = full("/")
+
+    def one(path: str) -> str:
+        if path.startswith("/"):
+            return root + path
+        if path.startswith("file://"):
+            return full(path)
+        return path if ":/" in path else below + path
+
+    return [one(path) for path in paths]

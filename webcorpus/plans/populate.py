@@ -53,9 +53,7 @@ WINDOW_SCHEMA = "object_key STRING, object_index BIGINT, path STRING, next_recor
 def window_of(index: Index, rows: list, base: str = "") -> tuple[DataFrame, list[str]]:
     """Collected object rows with their state, at most one window of them, as a small table, and
     their full paths."""
-    base = f"{base.rstrip('/')}/" if base else ""
-    full = [r.path if r.path.startswith("/") or ":/" in r.path else base + r.path for r in rows]
-    paths = files.qualify(index.spark, full)
+    paths = files.qualify(index.spark, base, [r.path for r in rows])
     data = [(r.object_key, r.object_index, path, r.next_record_idx) for r, path in zip(rows, paths)]
     return index.spark.createDataFrame(data, WINDOW_SCHEMA), paths
 
@@ -96,20 +94,16 @@ def ingest(index: Index, window: DataFrame, mapped: DataFrame, budget: int | Non
         mapped = mapped.withColumn("_source", doc_json(mapped))
     staged = write(mapped, folder("docs", "/data=staged"))
     ids = staged.filter("reject_reason IS NULL").select("doc_id", "pos")
-
-    new = new_documents(ids, index.ids())
-    if budget is not None:  # read several times to find the cut
-        new = write(new, folder("new"))
-    kept, cut = limit_new(new, budget)
-    kept = write(kept, folder("ids"))
-
     reason = F.col("reject_reason")
-    states = outcomes(staged.select("object_key", "record_idx", "pos", "reject_reason"), kept).select(
-        "object_key", "record_idx", "pos",
+    states = outcomes(
+        staged.select("object_key", "record_idx", "doc_id", "pos", "reject_reason"), new_documents(ids, index.ids())
+    ).select(
+        "object_key", "record_idx", "doc_id", "pos",
         F.when(reason.isNull(), F.col("outcome")).otherwise(F.lit("rejected")).alias("outcome"),
         F.when(reason.startswith("parse: "), reason).alias("parse_error"),
     )
-    states = write(states, folder("states"))
+    states = write(states, folder("outcomes"))
+    _, cut = limit_new(states.filter("outcome = 'created'"), budget)
 
     # An object without any record left is finished too, unless the budget ended before it.
     reached = window if cut is None else window.filter(position(F.col("object_index"), F.lit(0)) <= cut)
@@ -127,19 +121,15 @@ def ingest(index: Index, window: DataFrame, mapped: DataFrame, budget: int | Non
     data = "staged"
     within = F.lit(True) if cut is None else F.col("pos") <= cut
     lost = states.filter(within & (F.col("outcome") == "already_exists")).select("pos")
-    few = index.lost_count() + totals["already_exists"] <= LOST_ROWS
+    few = not totals["already_exists"] or index.lost_count() + totals["already_exists"] <= LOST_ROWS
     if cut is not None or not few:
         data = "kept"
         final = staged.filter(within).join(F.broadcast(lost) if few else lost, "pos", "left_anti")
         final.write.mode("overwrite").option("compression", index.compression).parquet(folder("docs", "/data=kept"))
-    elif totals["already_exists"]:
-        write(lost, folder("lost"))
 
     # Written last: from here on the run counts.
     progress = [{**row, "index_uuid": index.uuid, "run_id": run, "data": data, "cut": cut} for row in rows]
     spark.createDataFrame(progress, RUN_PROGRESS).coalesce(1).write.mode("overwrite").parquet(folder("progress"))
-    for kind in ("new", "states"):
-        files.remove(spark, folder(kind))
     if data == "kept":
         files.remove(spark, folder("docs", "/data=staged"))
     return {"objects": len(rows), **totals}

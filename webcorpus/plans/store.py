@@ -6,8 +6,7 @@ one and never read.
 
     <root>/catalogue/version=<v>/                       catalogue snapshots
     <root>/indices/<folder>/docs/run_id=<r>/data=<d>/   documents (staged or kept) with rejects
-    <root>/indices/<folder>/lost/run_id=<r>/            positions to leave out of staged documents
-    <root>/indices/<folder>/ids/run_id=<r>/             doc_id and position of the created ones
+    <root>/indices/<folder>/outcomes/run_id=<r>/        id, position and outcome of every record
     <root>/indices/<folder>/progress/run_id=<r>/        what the run added per object
 """
 
@@ -26,6 +25,10 @@ from webcorpus.plans import files
 # Index codec -> Parquet compression.
 CODECS = {"default": "lz4", "best_compression": "zstd"}
 
+OUTCOMES = """
+    object_key STRING, record_idx BIGINT, doc_id STRING, pos BIGINT, outcome STRING, parse_error STRING,
+    run_id BIGINT
+"""
 RUN_PROGRESS = progress_ops.SCHEMA + ", data STRING, cut BIGINT"
 
 
@@ -59,41 +62,51 @@ class Index:
         mine = self.runs().drop("data", "cut").withColumn("index_uuid", F.lit(self.uuid))
         return progress_ops.commit_progress(empty, mine.filter("object_key IS NOT NULL"))
 
+    def run_list(self) -> list:
+        """One row per committed run: its data folder, cut position and documents to leave out."""
+        lost = F.sum(F.when(F.col("data") == "staged", F.col("already_exists")).otherwise(0))
+        return self.runs().groupBy("run_id", "data", "cut").agg(lost.alias("lost")).collect()
+
+    def outcomes(self, runs: list | None = None) -> DataFrame:
+        """What became of every record of the runs, up to each run's cut."""
+        runs = self.run_list() if runs is None else runs
+        paths = [f"{self.path}/outcomes/run_id={r.run_id}" for r in runs]
+        if not paths:
+            return self.spark.createDataFrame([], OUTCOMES)
+        rows = self.spark.read.schema(OUTCOMES).option("basePath", f"{self.path}/outcomes").parquet(*paths)
+        cuts = [F.lit(x).cast("bigint") for r in runs if r.cut is not None for x in (r.run_id, r.cut)]
+        if not cuts:
+            return rows
+        cut = F.try_element_at(F.create_map(*cuts), F.col("run_id"))
+        return rows.filter(cut.isNull() | (F.col("pos") <= cut))
+
     def ids(self) -> DataFrame:
-        paths = [f"{self.path}/ids/run_id={r}" for r in self.committed()]
-        schema = "doc_id STRING, pos BIGINT"
-        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+        return self.outcomes().filter("outcome = 'created'").select("doc_id", "pos")
 
-    def _data(self) -> DataFrame:
+    def _data(self, runs: list) -> DataFrame:
         """All rows of the committed data folders, rejects included."""
-        kept = [
-            f"{self.path}/docs/run_id={r.run_id}/data={r.data}"
-            for r in self.runs().select("run_id", "data").distinct().collect()  # one row per run
-        ]
+        kept = [f"{self.path}/docs/run_id={r.run_id}/data={r.data}" for r in runs]
         if not kept:
             raise ValueError("the index has no committed run")
         return self.spark.read.option("basePath", f"{self.path}/docs").parquet(*kept)
 
-    def _lossy_runs(self) -> DataFrame:
-        """Runs whose data folder still holds documents that were not created, with how many."""
-        counts = self.runs().filter("data = 'staged'").groupBy("run_id").agg(F.sum("already_exists").alias("lost"))
-        return counts.filter("lost > 0")
-
     def lost_count(self) -> int:
-        return self._lossy_runs().agg(F.sum("lost")).first()[0] or 0
+        """Documents that readers have to leave out of the data folders."""
+        return sum(r.lost for r in self.run_list())
 
     def documents(self) -> DataFrame:
-        docs = self._data().filter("reject_reason IS NULL").drop("reject_reason", "data")
-        paths = [f"{self.path}/lost/run_id={r.run_id}" for r in self._lossy_runs().collect()]  # one row per run
-        if not paths:
+        runs = self.run_list()
+        docs = self._data(runs).filter("reject_reason IS NULL").drop("reject_reason", "data")
+        lossy = [r for r in runs if r.lost]
+        if not lossy:
             return docs
+        lost = self.outcomes(lossy).filter("outcome = 'already_exists'").select("run_id", "pos")
         # A writer keeps these below LOST_ROWS over all runs, so they can be broadcast.
-        lost = self.spark.read.option("basePath", f"{self.path}/lost").parquet(*paths)
         return docs.join(F.broadcast(lost), ["run_id", "pos"], "left_anti")
 
     def rejects(self) -> DataFrame:
         """Rejected records, kept for every run. (Runs cut by a budget drop what lies beyond.)"""
-        return self._data().filter("reject_reason IS NOT NULL").select(
+        return self._data(self.run_list()).filter("reject_reason IS NOT NULL").select(
             "object_key", "object_index", "record_idx", "reject_reason", "run_id"
         )
 
