@@ -136,3 +136,14 @@ def test_header_record_join_equals_the_scan(spark, tmp_path):
     joined = archive.attach_header_record(rows).select("record_idx", "info_headers", "info_content")
     direct = rows.filter("record_idx > 0").select("record_idx", "info_headers", "info_content")
     assert sorted(map(repr, joined.collect())) == sorted(map(repr, direct.collect()))
+
+
+def test_objects_are_attached_either_way(spark, tmp_path, monkeypatch):
+    paths = [write(tmp_path, f"{i}.gz", members(info(), wet(i))) for i in range(2)]
+    objects = spark.createDataFrame([(f"file:{p}", i) for i, p in enumerate(paths)], "path STRING, object_index INT")
+    rows = archive.read_archives(spark, paths)
+    got = []
+    for limit in (10, 1):
+        monkeypatch.setattr(archive, "BROADCAST_OBJECTS", limit)
+        got.append(sorted((r.object_index, r.record_idx) for r in archive.attach_objects(rows, objects).collect()))
+    assert got[0] == got[1] == [(0, 0), (0, 1), (1, 0), (1, 1)]

@@ -14,8 +14,10 @@ from webcorpus.functions.keys import object_key
 from webcorpus.functions.parsers import render_rfc3339
 from webcorpus.session import scratch_path
 
+# Records per archive: a hundredth of the table, at least so many, at most a few thousand.
 PAGES_PER_OBJECT = 25
 DOCUMENTS_PER_OBJECT = 100
+LARGEST_OBJECT = 5000
 WARC_CODE, WET_CODE = 1, 3
 BASE_SECONDS = 1708387200  # 2024-02-20T00:00:00Z
 
@@ -26,6 +28,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def per_object(df: DataFrame, least: int) -> int:
+    return max(least, min(LARGEST_OBJECT, -(-df.count() // 100)))
+
+
 def uuid_of(text: Column) -> Column:
     """MD5 of the text, hyphenated."""
     h = F.md5(text.cast("string").cast("binary"))
@@ -76,6 +82,7 @@ def placed(df: DataFrame, id_col: str, per_object: int) -> DataFrame:
 
 def warc_rows(pages: DataFrame) -> DataFrame:
     """Pages as response, request and metadata records, with planted corner cases."""
+    size = per_object(pages, PAGES_PER_OBJECT)
     p = F.col("page_id")
     response = p % 3 == 0
     some = lambda cond, value: F.when(cond, value)
@@ -115,13 +122,14 @@ def warc_rows(pages: DataFrame) -> DataFrame:
         "Content-Type": F.when(p % 3 == 2, F.lit("application/warc-fields")).otherwise(F.lit("application/http")),
     }
     body = F.when(p % 13 == 0, nested).otherwise(F.col("html"))
-    rows = placed(pages, "page_id", PAGES_PER_OBJECT).select("object_index", "record_idx", record(headers, body).alias("value"))
-    first = placed(pages.filter(p % PAGES_PER_OBJECT == 0), "page_id", PAGES_PER_OBJECT)
+    rows = placed(pages, "page_id", size).select("object_index", "record_idx", record(headers, body).alias("value"))
+    first = placed(pages.filter(p % size == 0), "page_id", size)
     return rows.unionByName(info_record("warc", first))
 
 
 def wet_rows(documents: DataFrame) -> DataFrame:
     """Documents as extracted-text records; the id is the MD5 of the text, so repeats collide."""
+    size = per_object(documents, DOCUMENTS_PER_OBJECT)
     d = F.col("doc_id")
     languages = F.when(d % 3 == 0, F.col("lang")).when(d % 3 == 1, F.concat("lang", F.lit(" , eng")))
     headers = {
@@ -134,8 +142,8 @@ def wet_rows(documents: DataFrame) -> DataFrame:
         "WARC-Identified-Content-Language": languages,
         "Content-Type": F.lit("text/plain"),
     }
-    rows = placed(documents, "doc_id", DOCUMENTS_PER_OBJECT).select("object_index", "record_idx", record(headers, F.col("text")).alias("value"))
-    first = placed(documents.filter(d % DOCUMENTS_PER_OBJECT == 0), "doc_id", DOCUMENTS_PER_OBJECT)
+    rows = placed(documents, "doc_id", size).select("object_index", "record_idx", record(headers, F.col("text")).alias("value"))
+    first = placed(documents.filter(d % size == 0), "doc_id", size)
     return rows.unionByName(info_record("wet", first))
 
 
@@ -150,14 +158,19 @@ def write_archives(rows: DataFrame, path: str) -> None:
     )
 
 
+def with_keys(df: DataFrame, code: int) -> DataFrame:
+    """Object key and index of rows that carry the path of a written archive: no join needed."""
+    index = F.regexp_extract("path", "object_index=([0-9]+)", 1).cast("bigint")
+    return df.select(object_key(F.lit(code), index).alias("object_key"), index.alias("object_index"), "*")
+
+
 def list_written(spark: SparkSession, path: str, code: int) -> DataFrame:
     """The archives under a folder as objects."""
     found = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.gz")
         .load(path).select("path")
     )
-    index = F.regexp_extract("path", "object_index=([0-9]+)", 1).cast("bigint")
-    return found.select(object_key(F.lit(code), index).alias("object_key"), index.alias("object_index"), "path")
+    return with_keys(found, code)
 
 
 _written: dict[tuple[str, str, str], str] = {}

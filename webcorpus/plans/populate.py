@@ -20,7 +20,7 @@ from webcorpus.operators.selection import (
 )
 from webcorpus.plans import files
 from webcorpus.plans.store import RUN_PROGRESS, Index
-from webcorpus.sources.archive import attach_objects, read_archives, read_objects, split_payloads, to_pairs
+from webcorpus.sources.archive import read_archives, read_objects, split_payloads, to_pairs
 
 # Objects per run: what the driver lists at once, and what a failure can cost.
 WINDOW = 4096
@@ -68,7 +68,7 @@ def scan_objects(
     else:
         records = read_archives(spark, paths, framing)
     # One row per scanned file, at most a window: content never moves for this join.
-    records = attach_objects(records, F.broadcast(window)).filter(
+    records = records.join(F.broadcast(window), "path").drop("path").filter(
         (F.col("record_idx") > F.col("next_record_idx")) | F.col("parse_error").isNotNull()
     )
     mapped = index.mapping.transform(to_pairs(records.drop("next_record_idx")))

@@ -23,7 +23,8 @@ CAP = 64 * 1024
 
 def _docs(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as index candidates: repeated texts share an id."""
-    placed = fixtures.placed(table(spark, sf, "documents"), "doc_id", fixtures.DOCUMENTS_PER_OBJECT)
+    docs = table(spark, sf, "documents")
+    placed = fixtures.placed(docs, "doc_id", fixtures.per_object(docs, fixtures.DOCUMENTS_PER_OBJECT))
     return selection.with_position(
         placed.select(
             object_key(F.lit(fixtures.WET_CODE), F.col("object_index")).alias("object_key"),

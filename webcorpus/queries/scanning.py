@@ -19,9 +19,7 @@ from webcorpus.sources import archive
 def _scan(spark: SparkSession, sf: str, kind: str, **options) -> DataFrame:
     code = {"warc": fixtures.WARC_CODE, "wet": fixtures.WET_CODE}[kind]
     path = fixtures.archives(spark, sf, kind)
-    return archive.attach_objects(
-        archive.read_archives(spark, path, **options), fixtures.list_written(spark, path, code)
-    )
+    return fixtures.with_keys(archive.read_archives(spark, path, **options), code).drop("path")
 
 
 def _warc(spark: SparkSession, sf: str) -> DataFrame:
@@ -67,8 +65,7 @@ def payload_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Objects as whole payloads, inflated member by member; shifted framing"""
     path = fixtures.archives(spark, sf, "wet")
     rows = archive.split_payloads(archive.read_objects(spark, path), framing="reference")
-    objects = fixtures.list_written(spark, path, fixtures.WET_CODE)
-    return archive.attach_objects(rows, objects).filter("record_idx > 0").select(
+    return fixtures.with_keys(rows, fixtures.WET_CODE).filter("record_idx > 0").select(
         "object_key", "record_idx", "content_bytes", F.hex(F.substring("content", 1, 2)).alias("head"),
         F.md5(F.expr("substring(content, 3)")).alias("body_md5"),
     )

@@ -31,17 +31,21 @@ def mix64(seed: int, index: str) -> str:
     return f"({step})[1]"
 
 
+def _per_object(table: str, least: int) -> str:
+    return f"(SELECT greatest({least}, least({fixtures.LARGEST_OBJECT}, (count(*) + 99) // 100)) AS size FROM {table})"
+
+
 # One row per page as the WARC archives hold it.
 PAGES = f"""
 page AS (
     SELECT page_id AS p, url, html,
-        page_id // {fixtures.PAGES_PER_OBJECT} AS object_index,
-        page_id % {fixtures.PAGES_PER_OBJECT} + 1 AS record_idx,
+        page_id // size AS object_index,
+        page_id % size + 1 AS record_idx,
         CASE WHEN page_id % 13 = 0
             THEN html || E'\\r\\n\\r\\nWARC/1.0\\r\\nContent-Length: 2\\r\\n\\r\\nxx\\r\\n\\r\\n' || html
             ELSE html END AS body,
         page_id % 3 = 0 AS response
-    FROM pages
+    FROM pages, {_per_object("pages", fixtures.PAGES_PER_OBJECT)}
 ), warc AS (
     SELECT *,
         printf('0101%08x', object_index) AS object_key,
@@ -68,9 +72,9 @@ page AS (
 DOCUMENTS = f"""
 wet AS (
     SELECT doc_id AS d, text, lang,
-        doc_id // {fixtures.DOCUMENTS_PER_OBJECT} AS object_index,
-        doc_id % {fixtures.DOCUMENTS_PER_OBJECT} + 1 AS record_idx,
-        printf('0103%08x', doc_id // {fixtures.DOCUMENTS_PER_OBJECT}) AS object_key,
+        doc_id // size AS object_index,
+        doc_id % size + 1 AS record_idx,
+        printf('0103%08x', doc_id // size) AS object_key,
         {uuid("text")} AS record_id
-    FROM documents
+    FROM documents, {_per_object("documents", fixtures.DOCUMENTS_PER_OBJECT)}
 )"""

@@ -275,9 +275,18 @@ def split_payloads(objects: DataFrame, framing: str = "standard", with_content:
     return objects.select("path", "payload").mapInArrow(_split_payloads(framing, with_content), SPLIT_SCHEMA)
 
 
+# Object listings up to this many rows, about 40 MB, are broadcast; a year of crawls has more.
+BROADCAST_OBJECTS = 200_000
+
+
 def attach_objects(records: DataFrame, objects: DataFrame) -> DataFrame:
-    """Replace ``path`` by the other columns of ``objects``: key, index and what else it holds."""
-    return records.join(objects, "path").drop("path")
+    """Replace ``path`` by the other columns of ``objects``: key, index and what else it holds.
+
+    Counts the listing first. A larger one is joined by shuffle; ``populate`` never gets there,
+    as it scans one window of the listing at a time.
+    """
+    small = objects.count() <= BROADCAST_OBJECTS
+    return records.join(F.broadcast(objects) if small else objects, "path").drop("path")
 
 
 def attach_header_record(records: DataFrame, key: str = "object_key") -> DataFrame:
