@@ -124,22 +124,30 @@ def test_malformed_objects(spark, index, tmp_path):
     write(tmp_path, "c.gz", members(b"garbage"))
     write(tmp_path, "d.gz", members(info()))
     write(tmp_path, "e.gz", members(b"".join([info(), wet(6), wet(7, b"x" * 100)])[:-60]))
-    rows = [(f"0103{i:08x}", i, f"{n}.gz") for i, n in enumerate("abcde")]
+    write(tmp_path, "f.gz", b"no gzip at all")
+    write(tmp_path, "g.gz", members(info(), wet(8)) + members(wet(9, b"y" * 5000))[:-30])
+    write(tmp_path, "h.gz", b"")
+    rows = [(f"0103{i:08x}", i, f"{n}.gz") for i, n in enumerate("abcdefgh")]
     listed = spark.createDataFrame(rows, "object_key STRING, object_index BIGINT, path STRING")
     done = populate(index, listed, str(tmp_path))
-    assert set(stored(index)) == {uuid(i) for i in (1, 3, 4, 6)} and done.rejected == 4
+    assert set(stored(index)) == {uuid(i) for i in (1, 3, 4, 6, 8)} and done.rejected == 7
     reasons = {(r.object_index, r.record_idx): r.reject_reason for r in index.rejects().collect()}
     assert reasons == {
         (0, 2): "bad target_uri",
         (1, 2): "parse: missing_content_length",
         (2, 0): "parse: invalid_version",
         (4, 2): "parse: truncated",
+        (5, 0): "parse: bad_gzip",
+        (6, 2): "parse: bad_gzip",
     }
     state = {r.object_key[-1]: (r.next_record_idx, r.done, r.created) for r in index.progress().collect()}
-    assert state == {"0": (3, True, 2), "1": (1, False, 1), "2": (0, False, 0), "3": (0, True, 0), "4": (1, False, 1)}
+    assert state == {
+        "0": (3, True, 2), "1": (1, False, 1), "2": (0, False, 0), "3": (0, True, 0), "4": (1, False, 1),
+        "5": (0, False, 0), "6": (1, False, 1), "7": (0, False, 0),
+    }
     # Broken objects are tried again and still give nothing new.
     again = populate(index, listed, str(tmp_path))
-    assert (again.objects, again.created) == (3, 0)
+    assert (again.objects, again.created) == (6, 0)
 
 
 def test_budget_that_ends_with_an_object_finishes_it(spark, index, corpus):

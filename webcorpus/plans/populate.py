@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from webcorpus.operators.mappings import conform, doc_json
-from webcorpus.operators.ordering import position
+from webcorpus.operators.ordering import RECORD_BITS
 from webcorpus.operators.progress import COUNTS, object_progress
 from webcorpus.operators.selection import (
     limit_new,
@@ -47,36 +47,52 @@ class Outcome:
             setattr(self, name, getattr(self, name) + count)
 
 
-WINDOW_SCHEMA = "object_key STRING, object_index BIGINT, path STRING, next_record_idx BIGINT"
+@dataclass(frozen=True)
+class Pending:
+    """One object of a window, with its full path and where it stopped."""
 
+    object_key: str
+    object_index: int
+    path: str
+    next_record_idx: int
 
-def window_of(index: Index, rows: list, base: str = "") -> tuple[DataFrame, list[str]]:
-    """Collected object rows with their state, at most one window of them, as a small table, and
-    their full paths."""
+
+def window_of(index: Index, rows: list, base: str = "") -> list[Pending]:
+    """Collected object rows, at most one window of them, with full paths."""
     paths = files.qualify(index.spark, base, [r.path for r in rows])
-    data = [(r.object_key, r.object_index, path, r.next_record_idx) for r, path in zip(rows, paths)]
-    return index.spark.createDataFrame(data, WINDOW_SCHEMA), paths
+    return [Pending(r.object_key, r.object_index, path, r.next_record_idx) for r, path in zip(rows, paths)]
 
 
-def scan_objects(
-    index: Index, window: DataFrame, paths: list[str], framing: str = "standard", whole: bool = False
-) -> DataFrame:
+def scan_objects(index: Index, window: list[Pending], framing: str = "standard", whole: bool = False) -> DataFrame:
     """The window's objects -> mapped documents with keys, resumed where they stopped."""
-    spark = index.spark
-    if whole:
-        records = split_payloads(read_objects(spark, paths), framing)
-    else:
-        records = read_archives(spark, paths, framing)
+    spark, paths = index.spark, [p.path for p in window]
+    records = split_payloads(read_objects(spark, paths), framing) if whole else read_archives(spark, paths, framing)
     # One row per scanned file, at most a window: content never moves for this join.
-    records = records.join(F.broadcast(window), "path").drop("path").filter(
+    state = spark.createDataFrame(
+        [(p.path, p.object_key, p.object_index, p.next_record_idx) for p in window],
+        "path STRING, object_key STRING, object_index BIGINT, next_record_idx BIGINT",
+    )
+    records = records.join(F.broadcast(state), "path").drop("path").filter(
         (F.col("record_idx") > F.col("next_record_idx")) | F.col("parse_error").isNotNull()
     )
     mapped = index.mapping.transform(to_pairs(records.drop("next_record_idx")))
     return with_position(conform(mapped, index.mapping.schema))
 
 
-def ingest(index: Index, window: DataFrame, mapped: DataFrame, budget: int | None = None) -> dict:
-    """Append one window of mapped documents as a run and commit its progress -> its counts.
+def unreadable(index: Index, window: list[Pending]) -> set[str]:
+    """Which of these objects, all without any document, cannot be read at all."""
+    if not window:
+        return set()
+    rows = split_payloads(read_objects(index.spark, [p.path for p in window]), with_content=False)
+    fine = rows.groupBy("path").agg(F.count("parse_error").alias("errors")).filter("errors = 0")
+    readable = {row.path for row in fine.collect()}  # at most a window
+    return {p.object_key for p in window if p.path not in readable}
+
+
+def ingest(
+    index: Index, window: list[Pending], budget: int | None = None, framing: str = "standard", whole: bool = False
+) -> dict:
+    """Append one window's documents as a run and commit its progress -> its counts.
 
     The scan is written once; every later step reads a few columns of that table.
     """
@@ -90,9 +106,19 @@ def ingest(index: Index, window: DataFrame, mapped: DataFrame, budget: int | Non
         df.write.mode("overwrite").option("compression", index.compression).parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 
-    if index.info["enable_source"]:
-        mapped = mapped.withColumn("_source", doc_json(mapped))
-    staged = write(mapped, folder("docs", "/data=staged"))
+    def stage(whole: bool) -> DataFrame:
+        mapped = scan_objects(index, window, framing, whole)
+        if index.info["enable_source"]:
+            mapped = mapped.withColumn("_source", doc_json(mapped))
+        return write(mapped, folder("docs", "/data=staged"))
+
+    try:
+        staged = stage(whole)
+    except Exception as error:
+        if whole or "FAILED_READ_FILE" not in str(error):
+            raise
+        # A damaged file: once more with objects read whole, which turns it into a reject row.
+        staged = stage(True)
     ids = staged.filter("reject_reason IS NULL").select("doc_id", "pos")
     reason = F.col("reject_reason")
     states = outcomes(
@@ -105,14 +131,22 @@ def ingest(index: Index, window: DataFrame, mapped: DataFrame, budget: int | Non
     states = write(states, folder("outcomes"))
     _, cut = limit_new(states.filter("outcome = 'created'"), budget)
 
-    # An object without any record left is finished too, unless the budget ended before it.
-    reached = window if cut is None else window.filter(position(F.col("object_index"), F.lit(0)) <= cut)
-    seen = object_progress(states, cut)
-    empty = reached.join(states.select("object_key").distinct(), "object_key", "left_anti").select(
-        "object_key", "next_record_idx", F.lit(True).alias("done"),
-        *[F.lit(0).cast("bigint").alias(c) for c in COUNTS],
-    )
-    rows = [row.asDict() for row in seen.unionByName(empty).collect()]  # at most one per object of the window
+    # At most one row per object of the window.
+    rows = [row.asDict() for row in object_progress(states, cut).collect()]
+    # An object without any record left is finished too, unless the budget ended before it or the
+    # scan gave nothing because its file is damaged.
+    seen = {row["object_key"] for row in rows}
+    empty = [
+        p for p in window
+        if p.object_key not in seen and (cut is None or p.object_index << RECORD_BITS <= cut)
+    ]
+    bad = unreadable(index, empty)
+    for p in empty:
+        broken = p.object_key in bad
+        rows.append({
+            "object_key": p.object_key, "next_record_idx": p.next_record_idx, "done": not broken,
+            **dict.fromkeys(COUNTS, 0), "rejected": int(broken),
+        })
     totals = {c: sum(row[c] for row in rows) for c in COUNTS}
 
     # Repeated and existing ids are left out when reading while they are few in all runs together;
@@ -147,8 +181,8 @@ def populate(
 ) -> Outcome:
     """Add ``n`` new documents (all when None) in visit order, going on where the last run stopped.
 
-    ``objects``: object_key, object_index, path (below ``base`` unless absolute). Objects are taken in windows, each one run with
-    its own commit. With a budget the windows start small and follow what is still needed, so
+    ``objects``: object_key, object_index, path (below ``base`` unless absolute). Objects are
+    taken in windows, each one run with its own commit. With a budget the windows start small and follow what is still needed, so
     few objects beyond the budget are read; the result does not depend on the window sizes. ``whole`` reads objects
     as single payloads, for files without a ``.gz`` name.
     """
@@ -163,9 +197,8 @@ def populate(
         )  # at most one window
         if not batch:
             break
-        listed, paths = window_of(index, batch, base)
-        mapped = scan_objects(index, listed, paths, framing, whole)
-        done.add(ingest(index, listed, mapped, None if n is None else n - done.created))
+        listed = window_of(index, batch, base)
+        done.add(ingest(index, listed, None if n is None else n - done.created, framing, whole))
         last = batch[-1].object_index
         if n is not None:
             # As many objects as the rest of the budget should need, going by what they gave so far.

@@ -203,6 +203,8 @@ def _split_fragments(framing: str, with_content: bool):
                     if path is not None:
                         yield from rows.add(rows.splitter.close())
                     path = file
+                    if not path.endswith(".gz"):
+                        raise ValueError(f"{path}: only .gz files stay in one piece; use read_objects")
                     rows.file(path, framing)
                 else:
                     piece = SEPARATOR + piece
@@ -222,6 +224,8 @@ def inflate(payload: bytes, size: int = 1 << 20) -> Iterator[bytes]:
         while data and not member.eof:
             yield member.decompress(data, size)
             data = member.unconsumed_tail
+        if not member.eof:
+            raise zlib.error("incomplete gzip member")
         payload = member.unused_data
 
 
@@ -253,10 +257,12 @@ def read_archives(spark: SparkSession, paths, framing: str = "standard", with_co
 
     Columns: path, record_idx (0 is the file's first record), headers, content, content_bytes,
     parse_error, and the first record's headers and content on every later row. Without content
-    only its length comes back.
+    only its length comes back. A damaged gzip stream fails the scan; ``split_payloads`` gives what
+    comes before the damage and an error row instead.
     """
     fragments = (
-        spark.read.option("lineSep", SEPARATOR.decode()).option("recursiveFileLookup", "true").text(paths)
+        spark.read.option("lineSep", SEPARATOR.decode()).option("recursiveFileLookup", "true")
+        .text(paths)
         .select(F.col("_metadata.file_path").alias("path"), "value")
     )
     return split_fragments(fragments, framing, with_content)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from webcorpus.operators.selection import pending_objects, with_progress
-from webcorpus.plans.populate import ingest, scan_objects, window_of
+from webcorpus.plans.populate import ingest, window_of
 from webcorpus.plans.store import Index
 
 FILE_SCHEMA = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
@@ -45,9 +45,7 @@ def populate_stream(
         known = batch.join(objects.select("object_key", "object_index", "path"), "path")
         rows = with_progress(pending_objects(known, state), state).collect()  # at most max_files
         if rows:
-            window, paths = window_of(index, rows)
-            mapped = scan_objects(index, window, paths, framing, whole)
-            ingest(index, window, mapped)
+            ingest(index, window_of(index, rows), None, framing, whole)
 
     return (
         found.writeStream.foreachBatch(append)
