@@ -60,3 +60,18 @@ def test_replies(spark):
     assert rows["b"].error_type == conflict and rows["b"].status == 409
     tally = {r.bulk: (r.created, r.already_exists, r.failed) for r in bulk.tally_outcomes(bulk.bulk_response_rows(df), ["bulk"]).collect()}
     assert tally == {0: (1, 1, 3), 1: (2, 0, 0)}
+
+
+def test_bodies_hold_every_line_in_order(spark, tmp_path):
+    doc = F.struct(F.repeat(F.lit("x"), F.col("id").cast("int") % 40).alias("text"))
+    docs = spark.range(1, 200).select((F.col("id") % 3).cast("string").alias("object_key"), F.col("id").alias("record_idx"), F.col("id").cast("string").alias("doc_id"), doc.alias("doc"))
+    bulk.write_bodies(bulk.render_bulk(docs, "ix"), str(tmp_path / "b"), cap=500, segment=8)
+    bodies = sorted((tmp_path / "b").glob("object_key=*/batch_no=*"), key=lambda p: (p.parent.name, int(p.name.split("=")[1])))
+    ids = {}
+    for body in bodies:
+        (part,) = body.glob("*.txt")
+        text = part.read_bytes()
+        assert 0 < len(text) <= 500 and text.endswith(b"\n")
+        lines = [json.loads(line) for line in text.splitlines()]
+        ids.setdefault(body.parent.name[-1], []).extend(int(a["create"]["_id"]) for a in lines[::2])
+    assert ids == {str(k): [i for i in range(1, 200) if i % 3 == k] for k in range(3)}

@@ -147,6 +147,22 @@ def pack_batches(payloads: DataFrame, cap: int = BULK_CAP, segment: int = SEGMEN
     )
 
 
+def write_bodies(rendered: DataFrame, path: str, cap: int = BULK_CAP, segment: int = SEGMENT) -> None:
+    """Write every body as one NDJSON file below ``object_key=<k>/batch_no=<b>``, in record order.
+
+    Payloads move once, by body, so no task gathers more than it was dealt bodies of ``cap`` bytes.
+    """
+    batches = pack_batches(rendered.select("object_key", "record_idx", "n_bytes"), cap, segment)
+    keys = ["object_key", "batch_no"]
+    (
+        rendered.join(batches, ["object_key", "record_idx"])
+        .repartition(*keys)
+        .sortWithinPartitions(*keys, "record_idx")
+        .select(*keys, F.rtrim("payload", F.lit("\n")).alias("value"))
+        .write.partitionBy(*keys).option("lineSep", "\n").text(path)
+    )
+
+
 # Fixed format: the reply to one bulk body.
 REPLY_SCHEMA = """
     errors BOOLEAN,

@@ -195,6 +195,24 @@ SELECT object_key, record_idx, batch_no FROM packed
 """
 
 
+def bulk_bodies(spark: SparkSession, sf: str) -> DataFrame:
+    """The bodies as files, read back"""
+    path = scratch_path(spark, "bodies")
+    bulk.write_bodies(bulk.render_bulk(_bulk_docs(spark, sf), "corpus"), path, CAP, 16)
+    lines = spark.read.schema("value STRING, object_key STRING, batch_no BIGINT").text(path)
+    size = F.octet_length("value") + 1
+    return lines.groupBy("object_key", "batch_no").agg(
+        F.count_if(F.col("value").startswith('{"create":')).alias("documents"), F.sum(size).alias("n_bytes")
+    )
+
+
+BULK_BODIES = PACK_BATCHES.replace(
+    "SELECT object_key, record_idx, batch_no FROM packed",
+    "SELECT packed.object_key, batch_no, count(*) AS documents, sum(n)::BIGINT AS n_bytes FROM packed "
+    "JOIN sized USING (object_key, record_idx) GROUP BY ALL",
+)
+
+
 def _replies(spark: SparkSession, sf: str) -> DataFrame:
     """Events as items of bulk replies, 20 to a reply; every fifth reply reports no errors."""
     kind = F.col("event_type")
@@ -343,6 +361,7 @@ QUERIES = {
     "limit_new": (limit_new, LIMIT_NEW),
     "render_bulk": (render_bulk, RENDER_BULK),
     "pack_batches": (pack_batches, PACK_BATCHES),
+    "bulk_bodies": (bulk_bodies, BULK_BODIES),
     "bulk_response_rows": (bulk_response_rows, BULK_RESPONSE_ROWS),
     "outcome_tally": (outcome_tally, OUTCOME_TALLY),
     "user_mapping": (user_mapping, USER_MAPPING),
