@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -28,15 +30,42 @@ def session(master: str | None = None, app: str = "webcorpus", **conf: str) -> S
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder for checkpoints; a local one only where the cluster names none."""
-    current = spark.sparkContext.getCheckpointDir()
+    """The shared folder for checkpoints and written intermediate tables.
+
+    A session without one gets a temporary folder, but only where driver and executors are one
+    process: elsewhere each machine would see a folder of its own.
+    """
+    context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    current = context.getCheckpointDir()
     if current is None:
-        spark.sparkContext.setCheckpointDir(configured or tempfile.mkdtemp(prefix="webcorpus-"))
-        current = spark.sparkContext.getCheckpointDir()
-    return configured or current
+        if configured is None:
+            master = context.master
+            if not (master == "local" or master.startswith("local[")):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            configured = tempfile.mkdtemp(prefix="webcorpus-")
+        context.setCheckpointDir(configured)
+        current = context.getCheckpointDir()
+    return spark.conf.get("spark.checkpoint.dir", None) or current
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder, for tables that cut lineage."""
     return f"{checkpoint_dir(spark).rstrip('/')}/webcorpus/{label}-{uuid.uuid4().hex}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Python workers need the package for the Arrow functions, wherever they were started from;
+    ship it once per application."""
+    context = spark.sparkContext
+    if getattr(context, "_webcorpus_shipped", False):
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="webcorpus-"), "webcorpus.zip")
+    with zipfile.ZipFile(archive, "w") as package:
+        for folder, _, names in os.walk(here):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                package.write(path, os.path.relpath(path, os.path.dirname(here)))
+    context.addPyFile(archive)
+    context._webcorpus_shipped = True
