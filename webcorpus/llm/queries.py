@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from webcorpus.llm import chat_format, chosen_path, multiprobe, secrets
+from webcorpus.llm import chat_format, chosen_path, language, multiprobe, packing, secrets, toxicity
 from webcorpus.llm.common import prepare, table
 
 
@@ -15,6 +15,10 @@ def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.near_duplicates(table(spark, sf_dir, "documents"), k=3, above=100, below=85)
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return multiprobe.nearest_neighbours(vectors, vectors.filter(F.col("vec_id") % 20 == 0), top=20)
@@ -54,11 +58,31 @@ def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.find_secrets(table(spark, sf_dir, "documents")))
 
 
+def held_out(modulus: int, remainder: int):
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(modulus)) == remainder
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    out = language.detect(documents, learn=~held_out(4, 2))
+    return out.select("doc_id", held_out(4, 2).alias("held_out"), "lang_pred", "score")
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    scored = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), learn=~held_out(5, 0))
+    return scored.select("doc_id", held_out(5, 0).alias("held_out"), "score", "predicted", "evidence")
+
+
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
+    "op2_packing": op2_packing,
     "op3_nearest": op3_nearest,
     "op5_chat_format": op5_chat_format,
     "op7_secrets": op7_secrets,
+    "op8_language": op8_language,
+    "op9_toxicity": op9_toxicity,
 }
 SQL: dict[str, str] = {
     "op5_chat_format": _op5_sql(),
