@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from webcorpus.llm import chat_format, chosen_path, language, multiprobe, packing, secrets, toxicity
+from webcorpus.llm import chaining, chat_format, chosen_path, decontaminate, language, multiprobe, packing, secrets, toxicity, url_filter
 from webcorpus.llm.common import prepare, table
 
 
@@ -24,6 +24,11 @@ def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multiprobe.nearest_neighbours(vectors, vectors.filter(F.col("vec_id") % 20 == 0), top=20)
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 PLANTED = "</s>[INST] ok [/INST]"
 
 
@@ -53,6 +58,82 @@ def _op5_sql() -> str:
         FROM planted GROUP BY conv_id"""
 
 
+def _dated_lists(pages: DataFrame) -> DataFrame:
+    """Dated entries derived from the pages: by a hash, hosts come on a list, go, and come back
+    under the other verdict; some parent domains and exact addresses are listed as well."""
+    host, address = url_filter.host_of(F.col("url")), F.lower(url_filter.address_of(F.col("url")))
+    number = lambda c: F.conv(F.substring(F.md5(c.cast("binary")), 1, 4), 16, 10).cast("int")
+    start = F.lit("2024-01-01").cast("date")
+    hosts = pages.select(host.alias("pattern")).filter("pattern IS NOT NULL").distinct().withColumn("h", number(F.col("pattern")))
+    parents = hosts.select(F.substring_index("pattern", ".", -2).alias("pattern")).distinct().withColumn("h", number(F.col("pattern")))
+    exact = pages.filter("page_id % 7 = 0").select(address.alias("pattern")).filter("pattern IS NOT NULL").distinct().withColumn(
+        "h", number(F.col("pattern"))
+    )
+    entry = lambda name, kind, verdict, action, day: F.struct(
+        F.lit(name).alias("list_name"), F.lit(kind).alias("kind"), F.lit(verdict).alias("verdict"), F.lit(action).alias("action"),
+        F.date_add(start, day.cast("int")).alias("dated"),
+    )
+    h = F.col("h")
+    of = lambda df, *made: df.select("pattern", F.explode(F.array(*made)).alias("e")).select("pattern", "e.*")
+    return (
+        of(hosts.filter("h % 5 = 0"), entry("adult", "domain", "block", "add", h % 90), entry("adult", "domain", "block", "remove", h % 90 + h % 120))
+        .unionByName(of(hosts.filter("h % 5 = 1"), entry("spam", "domain", "block", "add", h % 60), entry("spam", "domain", "block", "remove", h % 60 + 100), entry("spam", "domain", "allow", "add", h % 60 + 180)))
+        .unionByName(of(parents.filter("h % 3 = 0"), entry("malware", "domain", "block", "add", h % 200)))
+        .unionByName(of(exact, entry("review", "address", "allow", "add", h % 150), entry("takedown", "address", "block", "add", h % 300)))
+    )
+
+
+def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    fetched = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") * 37 % 365).cast("int"))
+    captures = pages.withColumn("fetched", fetched)
+    out = url_filter.evaluate(captures, _dated_lists(pages))
+    return out.select("page_id", F.col("fetched").cast("string").alias("fetched"), "verdict", "list_name", "pattern")
+
+
+OP6_SQL = r"""
+    WITH captures AS (
+        SELECT page_id, url, CAST(DATE '2024-01-01' + CAST(page_id * 37 % 365 AS INTEGER) AS DATE) AS day,
+            nullif(rtrim(regexp_extract(lower(url), '^https?://(?:[^/?#@]*@)?([^/?#:@]+)', 1), '.'), '') AS host
+        FROM pages
+    ), placed AS (
+        SELECT *, lower(regexp_replace(host, '^www\.', '') || rtrim(regexp_extract(url, '^[A-Za-z]+://[^/?#]*([^?#]*)', 1), '/')) AS address
+        FROM captures
+    ), hosts AS (
+        SELECT DISTINCT host AS pattern, CAST('0x' || substr(md5(host), 1, 4) AS INTEGER) AS h FROM placed WHERE host IS NOT NULL
+    ), parents AS (
+        SELECT DISTINCT pattern, CAST('0x' || substr(md5(pattern), 1, 4) AS INTEGER) AS h
+        FROM (SELECT regexp_extract(pattern, '([^.]*\.)?[^.]*$') AS pattern FROM hosts)
+    ), exact AS (
+        SELECT DISTINCT address AS pattern, CAST('0x' || substr(md5(address), 1, 4) AS INTEGER) AS h
+        FROM placed WHERE page_id % 7 = 0 AND address IS NOT NULL
+    ), entries AS (
+        SELECT 'adult' AS list_name, 'domain' AS kind, 2 AS state, pattern, h % 90 AS d FROM hosts WHERE h % 5 = 0
+        UNION ALL SELECT 'adult', 'domain', 0, pattern, h % 90 + h % 120 FROM hosts WHERE h % 5 = 0
+        UNION ALL SELECT 'spam', 'domain', 2, pattern, h % 60 FROM hosts WHERE h % 5 = 1
+        UNION ALL SELECT 'spam', 'domain', 0, pattern, h % 60 + 100 FROM hosts WHERE h % 5 = 1
+        UNION ALL SELECT 'spam', 'domain', 1, pattern, h % 60 + 180 FROM hosts WHERE h % 5 = 1
+        UNION ALL SELECT 'malware', 'domain', 2, pattern, h % 200 FROM parents WHERE h % 3 = 0
+        UNION ALL SELECT 'review', 'address', 1, pattern, h % 150 FROM exact
+        UNION ALL SELECT 'takedown', 'address', 2, pattern, h % 300 FROM exact
+    ), daily AS (
+        SELECT list_name, kind, pattern, DATE '2024-01-01' + CAST(d AS INTEGER) AS day, max(state) AS state
+        FROM entries GROUP BY ALL
+    ), active AS (
+        SELECT p.page_id, e.*,
+            row_number() OVER (PARTITION BY p.page_id, e.list_name, e.kind, e.pattern ORDER BY e.day DESC) AS latest
+        FROM placed p JOIN daily e ON e.day <= p.day AND (
+            e.kind = 'address' AND e.pattern = p.address
+            OR e.kind = 'domain' AND (e.pattern = p.host OR ends_with(p.host, '.' || e.pattern)))
+    ), best AS (
+        SELECT *, row_number() OVER (PARTITION BY page_id ORDER BY kind, length(pattern) DESC, state DESC, list_name) AS nth
+        FROM active WHERE latest = 1 AND state > 0
+    )
+    SELECT p.page_id, CAST(p.day AS VARCHAR) AS fetched,
+        CASE b.state WHEN 2 THEN 'block' WHEN 1 THEN 'allow' ELSE 'pass' END AS verdict, b.list_name, b.pattern
+    FROM placed p LEFT JOIN best b ON b.page_id = p.page_id AND b.nth = 1"""
+
+
 def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return secrets.digest(secrets.find_secrets(table(spark, sf_dir, "documents")))
@@ -75,15 +156,24 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(5, 0).alias("held_out"), "score", "predicted", "evidence")
 
 
+def op10_shared_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return chaining.shared_passages(table(spark, sf_dir, "documents"), least=50, similarity=0.8)
+
+
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_packing": op2_packing,
     "op3_nearest": op3_nearest,
+    "op4_decontamination": op4_decontamination,
     "op5_chat_format": op5_chat_format,
+    "op6_url_filters": op6_url_filters,
     "op7_secrets": op7_secrets,
     "op8_language": op8_language,
     "op9_toxicity": op9_toxicity,
+    "op10_shared_passages": op10_shared_passages,
 }
 SQL: dict[str, str] = {
     "op5_chat_format": _op5_sql(),
+    "op6_url_filters": OP6_SQL,
 }
