@@ -23,7 +23,7 @@ def info(name="f.warc.gz"):
             ("WARC-Record-ID", f"<urn:uuid:{uuid(10)}>"),
             ("Content-Type", "application/warc-fields"),
         ],
-        b"isPartOf: CC-MAIN-2024-10\r\n",
+        b"isPartOf: own archive\r\n",
     )
 
 

@@ -9,10 +9,10 @@ from webcorpus.functions.headers import header_map
 from webcorpus.sources import archive
 from webcorpus.sources.archive import Splitter
 
-INFO_370 = (
-    "WARC/1.0\r\nWARC-Type: warcinfo\r\nWARC-Date: 2024-04-26T17:49:19Z\r\n"
-    "WARC-Filename: CC-MAIN-00710.warc.wet.gz\r\nWARC-Record-ID: <urn:uuid:e5002b1a-f38d-4b24-b65b-cc3bbba53be7>\r\n"
-    "Content-Type: application/warc-fields\r\nContent-Length: 370\r\n\r\n"
+INFO_BYTES = (
+    "WARC/1.0\r\nWARC-Type: warcinfo\r\nWARC-Date: 2023-11-02T03:04:05Z\r\n"
+    "WARC-Filename: week-44-lot-3.warc.gz\r\nWARC-Record-ID: <urn:uuid:11111111-2222-4333-8444-555555555555>\r\n"
+    "Content-Type: application/warc-fields\r\nContent-Length: 96\r\n\r\n"
 )
 
 
@@ -24,11 +24,11 @@ def split(data, framing="standard", size=None):
 
 
 def test_warcinfo_record():
-    rows = split(INFO_370.encode() + b"x" * 370 + b"\r\n\r\nWARC: Next entry would begin here.\r\n")
+    rows = split(INFO_BYTES.encode() + b"x" * 96 + b"\r\n\r\nWARC-like line, but no record\r\n")
     headers, content, error = rows[0]
-    assert error is None and len(content) == 370
+    assert error is None and len(content) == 96
     assert headers["Version"] == "WARC/1.0" and headers["WARC-Type"] == "warcinfo"
-    assert headers["WARC-Filename"] == "CC-MAIN-00710.warc.wet.gz" and headers["Content-Length"] == "370"
+    assert headers["WARC-Filename"] == "week-44-lot-3.warc.gz" and headers["Content-Length"] == "96"
     # What follows opens with the magic word but is no record.
     assert rows[1] == (None, None, "invalid_version")
 

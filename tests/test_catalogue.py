@@ -2,6 +2,8 @@ import json
 
 import pytest
 
+from webcorpus.operators.catalogue import rekey
+from webcorpus.sources.manifest import read_served_manifest
 from webcorpus.operators import catalogue as ops
 from webcorpus.operators import progress as progress_ops
 from webcorpus.plans.store import Store
@@ -31,7 +33,7 @@ def test_rekey_keeps_progress(spark):
 
 @pytest.mark.parametrize(
     "move, error",
-    [((A, A), None), ((A, B), "uuid already in use"), ((C, "d" * 22), "index not found"), ((A, "short"), "invalid uuid length")],
+    [((A, A), None), ((A, B), "another index has the uuid"), ((C, "d" * 22), "no such index"), ((A, "short"), "invalid uuid length")],
 )
 def test_rekey_refusals(spark, move, error):
     cat, prog = catalogue(spark, A, B), progress(spark, (A, "010300000000", 42, True))
@@ -46,7 +48,7 @@ def test_register(spark):
     after, errors = ops.register(catalogue(spark, A), rows)
     assert sorted(r.uuid for r in after.collect()) == [A, B]
     assert sorted((r.uuid, r.error) for r in errors.collect()) == [
-        (A, "uuid already in use"), (C, "uuid already in use"), (C, "uuid already in use"), ("short", "invalid uuid length"),
+        (A, "another index has the uuid"), (C, "another index has the uuid"), (C, "another index has the uuid"), ("short", "invalid uuid length"),
     ]
 
 
@@ -55,7 +57,7 @@ def test_delete_twice_is_refused(spark):
     gone = spark.createDataFrame([(A,)], "uuid STRING")
     cat, prog, errors = ops.delete(cat, prog, gone)
     assert [r.uuid for r in cat.collect()] == [B] and [r.index_uuid for r in prog.collect()] == [B] and errors.isEmpty()
-    assert [r.error for r in ops.delete(cat, prog, gone)[2].collect()] == ["index not found"]
+    assert [r.error for r in ops.delete(cat, prog, gone)[2].collect()] == ["no such index"]
 
 
 def test_listing_order_counts_and_busy(spark):
@@ -77,7 +79,7 @@ def test_resolve(spark):
     )
     rows = {r.i: r for r in ops.resolve_index(requests, catalogue(spark, A)).collect()}
     assert all((rows[i].index_name, rows[i].uuid, rows[i].error) == (f"index-{A}", A, None) for i in (1, 2))
-    assert [rows[i].error for i in (3, 4, 5)] == ["index not found", "index not found", "target must be set"]
+    assert [rows[i].error for i in (3, 4, 5)] == ["no such index", "no such index", "target must be set"]
 
 
 def test_store(spark, tmp_path):
@@ -101,3 +103,23 @@ def test_store(spark, tmp_path):
     with pytest.raises(ValueError):
         store.delete(A)
     assert [r.index_name for r in store.list().collect()] == ["mine"]
+
+
+def test_rekey_refuses_repeated_ends(spark):
+    u = lambda c: c * 22
+    known = spark.createDataFrame([(u("a"),), (u("b"),), (u("c"),)], "uuid STRING")
+    progress = spark.createDataFrame([(u("a"), 1), (u("b"), 2), (u("c"), 3)], "index_uuid STRING, n INT")
+    moves = spark.createDataFrame([(u("a"), u("x")), (u("b"), u("x")), (u("c"), u("y")), (u("c"), u("z"))], "from_uuid STRING, to_uuid STRING")
+    moved, state, errors = rekey(known, progress, moves)
+    assert {r.uuid for r in moved.collect()} == {u("a"), u("b"), u("c")} and state.count() == 3
+    assert {r.error for r in errors.collect()} == {"move is ambiguous"} and errors.count() == 4
+
+
+def test_served_manifest_is_read_strictly(spark, tmp_path):
+    done = '{"db_key": "%s", "s3_key": "p", "status": {"Completed": {"content_length": 1}}}'
+    for name, text in (("cut", "[" + done % "010100000001" + ", {"), ("key", "[" + done % "zz" + "]")):
+        (tmp_path / name).write_text(text)
+        with pytest.raises(Exception):
+            read_served_manifest(spark, str(tmp_path / name)).collect()
+    (tmp_path / "good").write_text("[" + done % "010100000001" + "]")
+    assert [r.object_index for r in read_served_manifest(spark, str(tmp_path / "good")).collect()] == [1]

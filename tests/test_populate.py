@@ -194,3 +194,29 @@ def test_stream_picks_up_new_files(spark, index, corpus, tmp_path):
     # Delivered again from the start: nothing is created twice.
     populate_stream(index, str(source), numbered, str(tmp_path / "other"), max_files=12).awaitTermination()
     assert stored(index) == expected(objects)
+
+
+@pytest.mark.parametrize("name", ["with space", "per%20cent", "plus+sign", "kéy=välue"])
+def test_odd_folders_lose_nothing(spark, index, tmp_path, name):
+    folder = tmp_path / name
+    folder.mkdir()
+    write(folder, "000.warc.wet.gz", members(info("0"), wet(1, b"a"), wet(2, b"b")))
+    listed = spark.createDataFrame([("010300000000", 0, f"{name}/000.warc.wet.gz")], "object_key STRING, object_index BIGINT, path STRING")
+    done = populate(index, listed, str(tmp_path))
+    assert done.created == 2 and set(stored(index)) == {uuid(1), uuid(2)}
+
+
+def test_stream_takes_the_batch_listing(spark, index, corpus, tmp_path):
+    base, objects, listed = corpus
+    populate_stream(index, base, listed, str(tmp_path / "cp"), base=base).awaitTermination()
+    assert stored(index) == expected(objects)
+
+
+def test_stream_stops_at_files_it_does_not_know(spark, index, corpus, tmp_path):
+    base, objects, listed = corpus
+    part = listed.filter("object_index < 5")
+    with pytest.raises(Exception, match="not in the listing"):
+        populate_stream(index, base, part, str(tmp_path / "cp"), base=base).awaitTermination()
+    # Nothing was committed: with the whole listing the same checkpoint gives everything.
+    populate_stream(index, base, listed, str(tmp_path / "cp"), base=base).awaitTermination()
+    assert stored(index) == expected(objects)

@@ -21,7 +21,7 @@ LARGEST_OBJECT = 5000
 WARC_CODE, WET_CODE = 1, 3
 BASE_SECONDS = 1708387200  # 2024-02-20T00:00:00Z
 
-INFO_CONTENT = "isPartOf: CC-MAIN-2024-10\r\n"
+INFO_CONTENT = "isPartOf: own archive\r\n"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -30,7 +30,7 @@ def resolve_index(requests: DataFrame, catalogue: DataFrame) -> DataFrame:
         name.alias("index_name"),
         uuid.alias("uuid"),
         F.when(F.col("index_name").isNull() & F.col("uuid").isNull(), F.lit("target must be set"))
-        .when(name.isNull() | uuid.isNull(), F.lit("index not found"))
+        .when(name.isNull() | uuid.isNull(), F.lit("no such index"))
         .alias("error"),
     )
 
@@ -40,7 +40,7 @@ def index_info(catalogue: DataFrame, uuids: DataFrame) -> DataFrame:
     marked = catalogue.withColumn("_found", F.lit(True))
     return (
         uuids.select("uuid").join(marked, "uuid", "left")
-        .withColumn("error", F.when(F.col("_found").isNull(), F.lit("index not found")))
+        .withColumn("error", F.when(F.col("_found").isNull(), F.lit("no such index")))
         .drop("_found")
     )
 
@@ -55,7 +55,7 @@ def register(catalogue: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFram
         .withColumn(
             "error",
             F.when(~valid_index_uuid(F.col("uuid")), F.lit("invalid uuid length"))
-            .when(F.col("_used").isNotNull() | (F.col("_times") > 1), F.lit("uuid already in use")),
+            .when(F.col("_used").isNotNull() | (F.col("_times") > 1), F.lit("another index has the uuid")),
         )
         .drop("_used", "_times")
     )
@@ -66,20 +66,23 @@ def register(catalogue: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFram
 def rekey(
     catalogue: DataFrame, progress: DataFrame, moves: DataFrame
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Move records and their progress to new uuids. ``moves``: ``from_uuid``, ``to_uuid``, one
-    row per source and target. The same uuid is a no-op; an unknown source, a used target or a
-    malformed target is an error and moves nothing."""
+    """Move records and their progress to new uuids. ``moves``: ``from_uuid``, ``to_uuid``. The
+    same uuid is a no-op; an unknown source, a used or malformed target, and a source or target
+    that comes more than once are errors and move nothing."""
+    times = lambda column, name: moves.groupBy(column).agg(F.count("*").alias(name))
     source = catalogue.select(F.col("uuid").alias("from_uuid"), F.lit(True).alias("_known"))
     target = catalogue.select(F.col("uuid").alias("to_uuid"), F.lit(True).alias("_used"))
     same = F.col("from_uuid") == F.col("to_uuid")
     checked = (
         moves.join(source, "from_uuid", "left").join(target, "to_uuid", "left")
+        .join(times("from_uuid", "_sources"), "from_uuid", "left").join(times("to_uuid", "_targets"), "to_uuid", "left")
         .select(
             "from_uuid",
             "to_uuid",
             F.when(~valid_index_uuid(F.col("to_uuid")), F.lit("invalid uuid length"))
-            .when(F.col("_known").isNull(), F.lit("index not found"))
-            .when(~same & F.col("_used").isNotNull(), F.lit("uuid already in use"))
+            .when(F.col("_known").isNull(), F.lit("no such index"))
+            .when(~same & F.col("_used").isNotNull(), F.lit("another index has the uuid"))
+            .when((F.col("_sources") > 1) | (F.col("_targets") > 1), F.lit("move is ambiguous"))
             .alias("error"),
         )
     )
@@ -102,7 +105,7 @@ def delete(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Drop records and their progress; an unknown uuid is an error."""
     gone = uuids.select("uuid").distinct()
-    errors = gone.join(catalogue, "uuid", "left_anti").withColumn("error", F.lit("index not found"))
+    errors = gone.join(catalogue, "uuid", "left_anti").withColumn("error", F.lit("no such index"))
     kept = progress.join(gone.withColumnRenamed("uuid", "index_uuid"), "index_uuid", "left_anti")
     return catalogue.join(gone, "uuid", "left_anti"), kept, errors
 

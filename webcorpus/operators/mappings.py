@@ -355,7 +355,7 @@ def check_admissible(requests: DataFrame) -> DataFrame:
     error = (
         F.when(code.isNull(), F.lit("unknown collection"))
         .when(~F.col("mapping").isin(list(MAPPINGS)), F.lit("unknown mapping"))
-        .when(~allowed, F.lit("mapping does not allow collection"))
+        .when(~allowed, F.lit("collection is outside the mapping"))
     )
     return requests.withColumn("error", error)
 

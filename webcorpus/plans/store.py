@@ -155,7 +155,7 @@ class Store:
         """Register an index, named after its collection unless told otherwise -> its uuid."""
         if user_mapping is not None:
             if not user_mapping.allows(collection):
-                raise ValueError(f"mapping does not allow collection: {collection}")
+                raise ValueError(f"collection is outside the mapping: {collection}")
         else:
             request = self.spark.createDataFrame([(mapping_name, collection)], "mapping STRING, collection STRING")
             if error := check_admissible(request).first().error:
@@ -183,7 +183,7 @@ class Store:
         """An index by name or uuid."""
         found = self.catalogue().filter((F.col("uuid") == target) | (F.col("index_name") == target)).first()
         if found is None:
-            raise ValueError(f"index not found: {target}")
+            raise ValueError(f"no such index: {target}")
         return Index(self, found.asDict(), user_mapping)
 
     def progress(self) -> DataFrame:

@@ -115,7 +115,7 @@ WITH {_CAT}
 SELECT o_orderkey,
     CASE o_orderkey % 5 WHEN 0 THEN cat.index_name WHEN 1 THEN 'nobody' WHEN 2 THEN cat.index_name END AS index_name,
     CASE o_orderkey % 5 WHEN 0 THEN cat.uuid WHEN 2 THEN cat.uuid WHEN 3 THEN repeat('x', 22) END AS uuid,
-    CASE o_orderkey % 5 WHEN 1 THEN 'index not found' WHEN 3 THEN 'index not found' WHEN 4 THEN 'target must be set' END AS error
+    CASE o_orderkey % 5 WHEN 1 THEN 'no such index' WHEN 3 THEN 'no such index' WHEN 4 THEN 'target must be set' END AS error
 FROM orders JOIN cat ON k = o_custkey
 """
 
@@ -137,7 +137,7 @@ WITH {_CAT}, asked AS (
         ELSE lpad(c_custkey::VARCHAR, 21, 'é') END AS uuid
     FROM customer
 )
-SELECT asked.uuid, index_name, collection, mapping, CASE WHEN cat.uuid IS NULL THEN 'index not found' END AS error,
+SELECT asked.uuid, index_name, collection, mapping, CASE WHEN cat.uuid IS NULL THEN 'no such index' END AS error,
     strlen(asked.uuid) = 22 AS valid
 FROM asked LEFT JOIN cat ON cat.uuid = asked.uuid
 """
@@ -158,7 +158,7 @@ WITH {_CAT}
 SELECT uuid, NULL::VARCHAR AS error FROM cat WHERE k % 2 = 0
 UNION ALL SELECT uuid, NULL FROM cat WHERE k % 2 = 1 AND k % 3 = 0 AND k % 9 <> 0
 UNION ALL SELECT CASE WHEN k % 9 = 0 THEN 'short' ELSE uuid END,
-    CASE WHEN k % 9 = 0 THEN 'invalid uuid length' ELSE 'uuid already in use' END
+    CASE WHEN k % 9 = 0 THEN 'invalid uuid length' ELSE 'another index has the uuid' END
 FROM cat WHERE k % 3 = 0 AND (k % 9 = 0 OR k % 2 = 0)
 """
 
@@ -188,7 +188,7 @@ SELECT CASE WHEN k % 12 IN (0, 10) THEN 'n' || substr(uuid, 2)
 FROM cat, last
 UNION ALL
 SELECT CASE WHEN k % 12 = 2 THEN substr(md5((-k)::VARCHAR), 1, 22) ELSE uuid END, NULL, NULL,
-    CASE k % 12 WHEN 2 THEN 'index not found' WHEN 4 THEN 'invalid uuid length' ELSE 'uuid already in use' END
+    CASE k % 12 WHEN 2 THEN 'no such index' WHEN 4 THEN 'invalid uuid length' ELSE 'another index has the uuid' END
 FROM cat, last WHERE k % 12 IN (2, 4) OR (k % 12 = 8 AND k < m)
 """
 
@@ -212,7 +212,7 @@ WITH {_CAT}
 SELECT uuid, (SELECT sum(next_record_idx)::BIGINT FROM prog WHERE prog.k = cat.k) AS document_count, NULL::VARCHAR AS error
 FROM cat WHERE k % 3 <> 0
 UNION ALL
-SELECT substr(md5((-k)::VARCHAR), 1, 22), NULL, 'index not found' FROM cat WHERE k % 50 = 7
+SELECT substr(md5((-k)::VARCHAR), 1, 22), NULL, 'no such index' FROM cat WHERE k % 50 = 7
 """
 
 

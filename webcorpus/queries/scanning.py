@@ -170,7 +170,7 @@ SELECT object_key, record_idx, record_id AS doc_id, strlen(body) AS content_leng
     warcinfo_id, date, strlen(body) AS content_chars, target_uri AS target_uri_keyword,
     printf('warc-%09d.gz', object_index) AS info_filename,
     {sql.uuid("'warc:' || object_index")} AS info_record_id,
-    E'isPartOf: CC-MAIN-2024-10\\r\\n' AS info_content,
+    E'isPartOf: own archive\\r\\n' AS info_content,
     '2024-02-20T00:00:00Z' AS info_date
 FROM warc WHERE reject_reason IS NULL
 """

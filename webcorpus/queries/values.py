@@ -226,7 +226,7 @@ ADMISSIBLE = f"""
 SELECT c_custkey, m.mapping, c.collection, code, name,
     CASE WHEN code IS NULL THEN 'unknown collection' WHEN m.mapping = 'cc-text' THEN 'unknown mapping'
         WHEN m.mapping = 'cc-wet' AND code < 3 OR m.mapping = 'cc-warc' AND code > 2
-        THEN 'mapping does not allow collection' END AS error
+        THEN 'collection is outside the mapping' END AS error
 FROM customer
 JOIN (VALUES (0, 'raw'), (1, 'cc-wet'), (2, 'cc-warc'), (3, 'cc-text')) m(i, mapping) ON m.i = c_custkey % 4
 JOIN (VALUES {_NAMES}) c(i, collection, code, name) ON c.i = c_custkey % 9

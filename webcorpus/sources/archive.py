@@ -14,7 +14,7 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webcorpus.functions.headers import VERSION
@@ -252,6 +252,15 @@ def split_fragments(fragments: DataFrame, framing: str = "standard", with_conten
     return source.mapInArrow(_split_fragments(framing, with_content), SPLIT_SCHEMA)
 
 
+# A session may skip damaged and missing files; a scan that marks objects done must not.
+STRICT = {"ignoreCorruptFiles": "false", "ignoreMissingFiles": "false"}
+
+
+def plain_path(uri: Column) -> Column:
+    """The path that a file's URI stands for: what listings hold. A plus sign stands for itself."""
+    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+
+
 def read_archives(spark: SparkSession, paths, framing: str = "standard", with_content: bool = True) -> DataFrame:
     """Gzip archives (``*.gz``) on any Hadoop file system -> record rows, one task per file.
 
@@ -261,9 +270,9 @@ def read_archives(spark: SparkSession, paths, framing: str = "standard", with_co
     comes before the damage and an error row instead.
     """
     fragments = (
-        spark.read.option("lineSep", SEPARATOR.decode()).option("recursiveFileLookup", "true")
+        spark.read.options(**STRICT).option("lineSep", SEPARATOR.decode()).option("recursiveFileLookup", "true")
         .text(paths)
-        .select(F.col("_metadata.file_path").alias("path"), "value")
+        .select(plain_path(F.col("_metadata.file_path")).alias("path"), "value")
     )
     return split_fragments(fragments, framing, with_content)
 
@@ -271,7 +280,7 @@ def read_archives(spark: SparkSession, paths, framing: str = "standard", with_co
 def read_objects(spark: SparkSession, paths) -> DataFrame:
     """Whole objects as ``(path, payload, length)``, whatever their file extension."""
     return (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+        spark.read.options(**STRICT).format("binaryFile").option("recursiveFileLookup", "true").load(paths)
         .select("path", F.col("content").alias("payload"), "length")
     )
 

@@ -104,8 +104,11 @@ SERVED_SCHEMA = """
 
 
 def completed_objects(served: DataFrame) -> DataFrame:
-    """Entries that have finished downloading, as objects; key order is visit order."""
-    key = F.lower("db_key")
+    """Entries that have finished downloading, as objects; key order is visit order. An entry whose key isn't 12 hex digits stops the read: its place in the order is unknown."""
+    lower = F.lower("db_key")
+    key = F.when(lower.rlike("^[0-9a-f]{12}$"), lower).otherwise(
+        F.raise_error(F.concat(F.lit("served manifest holds a malformed key: "), F.coalesce("db_key", F.lit("NULL"))))
+    )
     return served.filter("status.Completed IS NOT NULL").select(
         key.alias("object_key"),
         F.conv(F.substring(key, 5, 8), 16, 10).cast("bigint").alias("object_index"),
@@ -114,5 +117,6 @@ def completed_objects(served: DataFrame) -> DataFrame:
 
 
 def read_served_manifest(spark: SparkSession, path: str) -> DataFrame:
-    """JSON array files of ``(db_key, s3_key, status)`` -> completed objects."""
-    return completed_objects(spark.read.schema(SERVED_SCHEMA).json(path, multiLine=True))
+    """JSON array files of ``(db_key, s3_key, status)`` -> completed objects. A file that is no
+    whole JSON stops the read."""
+    return completed_objects(spark.read.schema(SERVED_SCHEMA).json(path, multiLine=True, mode="FAILFAST"))

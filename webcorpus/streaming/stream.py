@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from webcorpus.operators.selection import pending_objects, with_progress
+from webcorpus.plans.files import qualify
 from webcorpus.plans.populate import ingest, window_of
 from webcorpus.plans.store import Index
 
@@ -26,10 +27,12 @@ def populate_stream(
     max_files: int = 1024,
     framing: str = "standard",
     whole: bool = False,
+    base: str = "",
     **trigger,
 ) -> StreamingQuery:
-    """Start the stream. ``objects`` (object_key, object_index, path) numbers the files; a file it
-    does not list is left alone. The default trigger takes what is there and stops."""
+    """Start the stream. ``objects`` (object_key, object_index, path) numbers the files, with paths below
+    ``base`` or full ones, as ``populate`` takes them. A file that it does not list stops the stream
+    before the batch is committed, so no file is passed over unread. The default trigger takes what is there and stops."""
     spark = index.spark
     found = (
         spark.readStream.format("binaryFile").schema(FILE_SCHEMA)
@@ -40,9 +43,22 @@ def populate_stream(
         .select("path")  # the content column is pruned: no file is opened here
     )
 
+    # The same full form as the stream reports for its files.
+    below, root = qualify(spark, base, ["x", "/"]) if base else ("x", qualify(spark, base, ["/"])[0])
+    path = F.col("path")
+    full = F.when(path.startswith("/"), F.concat(F.lit(root.rstrip("/")), path)).when(
+        path.contains(":/"), F.regexp_replace(path, "^file:/+", "file:/")
+    ).otherwise(
+        F.concat(F.lit(below[:-1]), path)
+    )
+    listed = objects.select("object_key", "object_index", full.alias("path"))
+
     def append(batch: DataFrame, _: int) -> None:
         state = index.progress()
-        known = batch.join(objects.select("object_key", "object_index", "path"), "path")
+        known = batch.join(listed, "path")
+        stray = batch.join(listed, "path", "left_anti").first()
+        if stray is not None:
+            raise ValueError(f"file is not in the listing: {stray.path}")
         rows = with_progress(pending_objects(known, state), state).collect()  # at most max_files
         if rows:
             ingest(index, window_of(index, rows), None, framing, whole)
