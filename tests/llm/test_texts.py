@@ -59,6 +59,12 @@ def test_secrets(spark):
         assert any(k == kind for _, _, k in secrets.spans_of(f"see {text} there")), kind
     plain = base64.b64encode(b"just some plain words, nothing else at all").decode()
     assert secrets.spans_of(f"{plain} {token[1:]} a.b.c") == []
+    named = f"my.service_name.{token}"
+    assert secrets.spans_of(named) == [(len(named) - len(token), len(named), "token")]
+    for text in ("a" * 1_000_000, "a.b" * 300_000, "-----BEGIN A-----" * 50_000):
+        assert secrets.spans_of(text) == []
+    many = secrets.confirmed_spans(f"{token} {coded}\n" * 2_000)
+    assert len(many) == 4_000 and all(b > a for (_, a, _), (b, _, _) in zip(sorted(many), sorted(many)[1:]))
     both = 'é Password = "abcdefgh" token: short AKIAABCDEFGHIJKL'
     assert secrets.spans_of(both) == [(2, 22, "assign"), (both.index("AKIA"), len(both), "access")]
     assert secrets.base_spans("é api_key=abcdefgh") == [(2, 18, "assign")]

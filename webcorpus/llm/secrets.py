@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import base64
 import binascii
+import bisect
 import hashlib
 import json
 import re
@@ -28,7 +29,9 @@ KINDS = ("assign", "access", "hex", "pem", "der", "ssh", "token")
 _PEM = re.compile(r"-----BEGIN (?P<label>[A-Z0-9 ]{1,40})-----(?P<body>[A-Za-z0-9+/=\s]+)-----END (?P=label)-----")
 _RUN = re.compile(r"[A-Za-z0-9+/_-]{24,}={0,2}")
 _HEX_RUN = re.compile(r"[0-9A-Fa-f]{48,}")
-_TOKEN = re.compile(r"([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*)")
+# Tried at the start of each run of its letters alone, so that long runs cost their length; ahead
+# of the place, so that a name and a dot before a token don't take its header for themselves.
+_TOKEN = re.compile(r"(?<![A-Za-z0-9_-])(?=([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]*))")
 # What a text must hold for any pattern to match, for a vectorised first look.
 _LOOK = r"(?i)passw(or)?d|secret|token|api_?key|AKIA|[0-9a-f]{32}|-----BEGIN |[A-Za-z0-9+/_-]{24}|[A-Za-z0-9_-]{8}\.[A-Za-z0-9_-]{2,}\."
 
@@ -115,24 +118,41 @@ def base_spans(text: str) -> list[Span]:
     return found + [(m.start(), m.end(), "hex") for m in HEX.finditer(text)]
 
 
+class Covered:
+    """Spans that don't overlap, and whether a place is inside one."""
+
+    def __init__(self) -> None:
+        self.starts: list[int] = []
+        self.ends: list[int] = []
+
+    def add(self, start: int, end: int) -> None:
+        at = bisect.bisect(self.starts, start)
+        self.starts.insert(at, start)
+        self.ends.insert(at, end)
+
+    def holds(self, place: int) -> bool:
+        at = bisect.bisect(self.starts, place)
+        return at > 0 and place < self.ends[at - 1]
+
+
 def confirmed_spans(text: str) -> list[Span]:
     found: list[Span] = []
+    covered = Covered()
     for m in _PEM.finditer(text):
         data = _decode(re.sub(r"\s", "", m["body"]))
         if data and ("PRIVATE" in m["label"] or "KEY" in m["label"]) and (is_der_key(data) or is_ssh_key(data)):
             found.append((m.start(), m.end(), "pem"))
-    covered = [(s, e) for s, e, _ in found]
-    inside = lambda at: any(s <= at < e for s, e in covered)
+            covered.add(m.start(), m.end())
     for m in _TOKEN.finditer(text):
-        if is_token(m[1], m[2]):
-            found.append((m.start(), m.end(), "token"))
-            covered.append(m.span())
+        if not covered.holds(m.start()) and is_token(m[1], m[2]):
+            found.append((m.start(), m.end(3), "token"))
+            covered.add(m.start(), m.end(3))
     for m in _HEX_RUN.finditer(text):
-        if not inside(m.start()) and len(m[0]) % 2 == 0 and is_der_key(bytes.fromhex(m[0])):
+        if not covered.holds(m.start()) and len(m[0]) % 2 == 0 and is_der_key(bytes.fromhex(m[0])):
             found.append((m.start(), m.end(), "der"))
-            covered.append(m.span())
+            covered.add(m.start(), m.end())
     for m in _RUN.finditer(text):
-        if inside(m.start()):
+        if covered.holds(m.start()):
             continue
         data = _decode(m[0])
         if data and is_ssh_key(data):
