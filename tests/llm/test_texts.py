@@ -61,7 +61,7 @@ def test_secrets(spark):
     assert secrets.spans_of(f"{plain} {token[1:]} a.b.c") == []
     named = f"my.service_name.{token}"
     assert secrets.spans_of(named) == [(len(named) - len(token), len(named), "token")]
-    for text in ("a" * 1_000_000, "a.b" * 300_000, "-----BEGIN A-----" * 50_000):
+    for text in ("z" * 1_000_000, "z.y" * 300_000, "-----BEGIN A-----" * 50_000):
         assert secrets.spans_of(text) == []
     many = secrets.confirmed_spans(f"{token} {coded}\n" * 2_000)
     assert len(many) == 4_000 and all(b > a for (_, a, _), (b, _, _) in zip(sorted(many), sorted(many)[1:]))
