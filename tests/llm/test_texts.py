@@ -77,7 +77,7 @@ def test_secrets(spark):
 
 
 def test_packing(spark):
-    rows = [(i, "x" * (i * 37 % 3000), 1) for i in range(400)] + [(900, None, 1), (900, None, 1), (901, "y" * 20_000, 1), (None, "z", 1)]
+    rows = [(i, "x" * (i * 37 % 3000), 1) for i in range(400)] + [(900, None, 1), (900, None, 1), (901, "y" * 20_000, 1), (901, "y" * 20_000, 1), (None, "z" * 5_000, 1)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, length int")
     out = packing.pack_documents(docs, (512, 1024, 2048)).collect()
     bins = {}
@@ -91,7 +91,7 @@ def test_packing(spark):
             at += r.length
         assert at == held[0].fill <= held[0].capacity and held[0].capacity == min(c for c in (512, 1024, 2048) if c >= at)
     assert sum(r.length for r in out) == sum(len(t or "") + 1 for _, t, _ in rows)
-    assert sum(r.length for r in out if r.doc_id == 901) == 20_001
+    assert sum(r.length for r in out if r.doc_id == 901) == 2 * 20_001
     assert sum(r.capacity for r in out if r.offset == 0) <= 1.06 * sum(r.length for r in out)
     assert packing.pack_documents(docs.filter("false")).count() == 0
 

@@ -75,8 +75,7 @@ def _pack_shards(capacities: tuple[int, ...], costs: tuple[float, ...]):
         return batch, first + len(sizes)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Rows come by shard and falling length. A shard far beyond its size, as of one id that is
-        # repeated without end, is packed in slices, so memory stays bounded.
+        # Rows come by shard and falling length; a shard far beyond its size is packed in slices.
         rows: list[tuple] = []
         shard, first = None, 0
         for batch in batches:
@@ -107,25 +106,29 @@ def pack_documents(
     (or `length` tokens, where given); [start, start + length) are the tokens of the piece and
     offset is where it stands in its bin. capacities are the permitted lengths and costs what one
     sequence of each costs, its length where not given. A NULL or empty text is its end token.
-    Repeated rows are packed each; equal lengths are packed by doc_id. A NULL doc_id is packed as
+    Repeated rows are packed each, in bins of their own where they fill them; equal lengths are
+    packed by doc_id. Which bin a piece is in depends on how the rows are stored. A NULL doc_id is packed as
     NULL. An empty table gives no rows. Other columns are not read.
     """
     capacities = tuple(sorted(capacities))
     costs = tuple(float(c) for c in (costs or capacities))
     most = capacities[-1]
     size = length if length is not None else F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint") + 1
-    sized = written(documents.select(F.col("doc_id").cast("bigint"), size.cast("bigint").alias("size")), "sizes")
+    # The number of a row is fixed as it is written; it tells repeated rows apart.
+    sized = documents.select(F.col("doc_id").cast("bigint"), size.cast("bigint").alias("size"))
+    sized = written(sized.withColumn("row", F.monotonically_increasing_id()), "sizes")
     full = F.expr(f"(size - 1) div {most}")
     whole = sized.filter(F.col("size") > most).select("doc_id", F.explode(F.sequence(F.lit(0).cast("bigint"), full - 1)).alias("piece"))
     # A full piece is a bin of its own; negative numbers keep its bin_id apart.
+    whole = written(whole.withColumn("bin_id", -1 - F.monotonically_increasing_id()), "whole")
     whole = whole.select(
-        (-1 - F.shiftrightunsigned(F.xxhash64("doc_id", "piece"), 1)).alias("bin_id"), F.lit(most).cast("bigint").alias("capacity"),
+        "bin_id", F.lit(most).cast("bigint").alias("capacity"),
         F.lit(most).cast("bigint").alias("fill"), F.lit(0).cast("bigint").alias("offset"), "doc_id", "piece",
         (F.col("piece") * most).alias("start"), F.lit(most).cast("bigint").alias("length"),
     )
     shards = max(1, -(-sized.count() // SHARD))
     rest = sized.select(
-        F.pmod(F.xxhash64("doc_id"), F.lit(shards)).alias("shard"), "doc_id", full.alias("piece"), (full * most).alias("start"),
+        F.pmod(F.xxhash64("row"), F.lit(shards)).alias("shard"), "doc_id", full.alias("piece"), (full * most).alias("start"),
         (F.col("size") - full * most).alias("length"),
     )
     dealt = rest.repartition(shards, "shard").sortWithinPartitions("shard", F.desc("length"), "doc_id", "piece")
