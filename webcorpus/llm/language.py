@@ -24,6 +24,7 @@ from pyspark.sql.types import StructType
 SLOTS = 1 << 14  # trigram slots
 PER_LANGUAGE = 400  # labelled texts to learn from, for each language
 IN_ALL = 8000  # and for all languages together
+AT_ONCE = 1 << 19  # bytes of text whose trigrams are weighed together
 
 # Well-known families; any other language is a family of its own.
 FAMILIES = {
@@ -102,10 +103,32 @@ class Model:
     weights: np.ndarray  # a row per slot and one of zeros: families, then pairs
     bias: np.ndarray
 
+    def sums(self, slots: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Weights summed over the trigrams of each text. Long texts go in stretches that begin
+        with the text, so the sums do not depend on what else is in the batch."""
+        if len(offsets) > 2:
+            return np.add.reduceat(self.weights[slots], offsets[:-1], axis=0, dtype=np.float64)
+        total = np.zeros((1, self.weights.shape[1]))
+        for at in range(0, len(slots), AT_ONCE):
+            total += np.add.reduceat(self.weights[slots[at : at + AT_ONCE]], [0], axis=0, dtype=np.float64)
+        return total
+
     def predict(self, texts: pa.Array) -> tuple[list[str], list[float]]:
+        """Language and score of each text; a bounded number of bytes, or one text, at a time."""
+        langs, scores = [], []
+        ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 2)
+        start = 0
+        while start < len(texts):
+            done = ends[start - 1] if start else 0
+            stop = max(int(np.searchsorted(ends, done + AT_ONCE, "right")), start + 1)
+            for found, into in zip(self._predict(texts.slice(start, stop - start)), (langs, scores)):
+                into += found
+            start = stop
+        return langs, scores
+
+    def _predict(self, texts: pa.Array) -> tuple[list[str], list[float]]:
         slots, offsets, sizes = _slots(texts)
-        totals = np.add.reduceat(self.weights[slots], offsets[:-1], axis=0, dtype=np.float64)
-        means = totals / sizes[:, None] + self.bias
+        means = self.sums(slots, offsets) / sizes[:, None] + self.bias
         nf = len(self.families)
         evidence = means[:, :nf] * np.minimum(sizes, 100)[:, None]  # neighbouring trigrams aren't independent
         odds = np.exp(evidence - evidence.max(axis=1, keepdims=True))
