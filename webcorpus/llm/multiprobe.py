@@ -8,9 +8,11 @@ chance of holding the neighbour; cells are visited from the likeliest on until t
 to what the table owes for the target recall. The distance is fitted on a bounded sample of
 queries against all rows, the number of projections grows with the logarithm of the rows.
 
-The cells are what Spark deals out: a task holds a block of a cell's vectors and the queries that
-visit it, ranks them exactly in double precision and keeps the nearest per query; tables are then
-merged. Large cells are cut into blocks, so no cell is capped.
+Spark deals out groups of cells, those that agree in the first projections, as many of these as
+bring a group to a block's size. A query goes to a group once, with the list of the cells it visits
+there. A task holds a block of a group's vectors and the queries that visit it, ranks the visited
+cells exactly in double precision and keeps the nearest per query; tables are then merged. Large
+groups are cut into blocks, so none is capped.
 """
 
 from __future__ import annotations
@@ -47,11 +49,11 @@ def valid(embedding: Column) -> Column:
 class _Tables:
     """The hash functions, the same on every executor."""
 
-    def __init__(self, dim: int, tables: int, width: int, longest: float, distance: float, recall: float):
+    def __init__(self, dim: int, tables: int, width: int, longest: float, distance: float, recall: float, leading: int):
         draw = np.random.default_rng(20_240_220)
         self.a = draw.standard_normal((tables, dim + 1, width))
         self.b = draw.uniform(0, WIDTH, (tables, width))
-        self.longest, self.distance = longest, distance
+        self.longest, self.distance, self.leading = longest, distance, leading
         self.owed = 1 - (1 - recall) ** (1 / tables)
         self.steps = np.array(list(itertools.product((-1, 0, 1), repeat=width)))
 
@@ -72,6 +74,10 @@ class _Tables:
             out = out * 4093 + cells[..., j] + 2046
         return out
 
+    def group(self, table: int, cells: np.ndarray) -> np.ndarray:
+        """The name of a cell's group."""
+        return self.cell(table, cells[..., : self.leading])
+
     def probes(self, z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Query numbers and cells to visit in one table, likeliest first."""
         base = np.floor(z)
@@ -96,8 +102,11 @@ def _index(tables: _Tables):
             if batch.num_rows:
                 z = tables.place(_matrix(batch.column("embedding")), query=False)
                 for t in range(len(z)):
-                    cells = tables.cell(t, np.floor(z[t]).astype(np.int64))
-                    yield pa.RecordBatch.from_arrays([pa.array(cells), *batch.columns], ["cell", *batch.schema.names])
+                    cells = np.floor(z[t]).astype(np.int64)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(tables.group(t, cells)), pa.array(tables.cell(t, cells)), *batch.columns],
+                        ["group", "cell", *batch.schema.names],
+                    )
 
     return run
 
@@ -109,38 +118,53 @@ def _visits(tables: _Tables):
                 z = tables.place(_matrix(batch.column("embedding")), query=True)
                 for t in range(len(z)):
                     who, cells = tables.probes(z[t])
-                    rows = batch.take(pa.array(who))
-                    yield pa.RecordBatch.from_arrays([pa.array(tables.cell(t, cells)), *rows.columns], ["cell", *batch.schema.names])
+                    group, cell = tables.group(t, cells), tables.cell(t, cells)
+                    order = np.lexsort((cell, group, who))
+                    who, group, cell = who[order], group[order], cell[order]
+                    first = np.flatnonzero(np.append(True, (who[1:] != who[:-1]) | (group[1:] != group[:-1])))
+                    rows = batch.take(pa.array(who[first]))
+                    visited = pa.ListArray.from_arrays(pa.array(np.append(first, len(who)), pa.int32()), pa.array(cell))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(group[first]), visited, *rows.columns], ["group", "cells", *batch.schema.names]
+                    )
 
     return run
 
 
-def _nearest(query_ids: np.ndarray, scores: np.ndarray, ids: np.ndarray, top: int, out: list) -> None:
-    """The top of each row of scores; ties at the border all stay for the merge."""
-    for i, row in enumerate(scores):
-        usable = np.isfinite(row).sum()
-        if usable == 0:
-            continue
-        border = np.partition(row, len(row) - top)[len(row) - top] if usable > top else -np.inf
-        keep = np.flatnonzero((row >= border) & np.isfinite(row))
-        keep = keep[np.lexsort((ids[keep], -row[keep]))][:top]
-        out.append((np.full(len(keep), query_ids[i]), ids[keep], row[keep]))
-
-
 def _rank(top: int):
     schema = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
-            return schema.empty_table()
-        vectors, asked = _matrix(left["embedding"]), _matrix(right["embedding"])
-        ids, who = left["vec_id"].to_numpy(), right["vec_id"].to_numpy()
-        out: list = []
-        for start in range(0, len(who), 128):
-            part = who[start : start + 128]
-            scores = asked[start : start + 128] @ vectors.T
-            scores[part[:, None] == ids[None, :]] = -np.inf
-            _nearest(part, scores, ids, top, out)
+        out: list[tuple] = []
+        if left.num_rows and right.num_rows:
+            left = left.sort_by([("cell", "ascending"), ("vec_id", "ascending")])
+            vectors, asked = _matrix(left["embedding"]), _matrix(right["embedding"])
+            ids, who = left["vec_id"].to_numpy(), right["vec_id"].to_numpy()
+            cells, starts = np.unique(left["cell"].to_numpy(), return_index=True)
+            ends = np.append(starts[1:], len(ids))
+            visits = right["cells"].combine_chunks()
+            for at in range(0, len(who), 128):
+                part = visits.slice(at, 128)
+                of = np.repeat(np.arange(len(part)), part.value_lengths().to_numpy())
+                where = part.flatten().to_numpy()
+                scores = np.full((len(part), len(ids)), -np.inf)
+                for cell, start, end in zip(cells, starts, ends):
+                    rows = of[where == cell]
+                    if len(rows):
+                        scores[rows, start:end] = asked[at + rows] @ vectors[start:end].T
+                scores[who[at : at + 128, None] == ids[None, :]] = -np.inf
+                for i, row in enumerate(scores):
+                    met = np.isfinite(row)
+                    usable = int(met.sum())
+                    if not usable:
+                        continue
+                    border = np.partition(row, len(row) - top)[len(row) - top] if usable > top else -np.inf
+                    # A matrix product may round alike vectors differently; those near the border
+                    # are measured again, one by one, before ties are told apart.
+                    keep = np.flatnonzero(met & (row >= border - 1e-9 * np.abs(row[met]).max()))
+                    exact = (vectors[keep] * asked[at + i]).sum(axis=1)
+                    best = np.lexsort((ids[keep], -exact))[:top]
+                    out.append((np.full(len(best), who[at + i]), ids[keep][best], exact[best]))
         if not out:
             return schema.empty_table()
         return pa.table([np.concatenate(c) for c in zip(*out)], schema=schema)
@@ -201,17 +225,19 @@ def nearest_neighbours(
     cosines = sorted(r["score"] / np.linalg.norm(asked[r["who"]]) / longest for r in last) or [-1.0]
     distance = math.sqrt(max(2 - 2 * cosines[len(cosines) // 4], 1e-4))  # a far one among the sample's
     width = max(1, min(6, round(math.log2(max(n, 2)) / 4)))
-    hashing = _Tables(dim, tables, width, longest, distance, recall)
-
-    cells = vectors.mapInArrow(_index(hashing), "cell bigint, vec_id bigint, embedding array<double>")
-    visits = queries.mapInArrow(_visits(hashing), "cell bigint, vec_id bigint, embedding array<double>")
-    count = lambda df, name, block: df.groupBy("cell").agg(F.ceil(F.count("*") / block).cast("int").alias(name))
-    deal = written(count(cells, "nv", VECTORS).join(count(visits, "nq", QUERIES), "cell"), "cells")
+    # A projection has about five cells that hold vectors.
+    leading = min(width, max(1, math.ceil(math.log(max(n / VECTORS, 1), 5))))
+    hashing = _Tables(dim, tables, width, longest, distance, recall, leading)
+
+    cells = vectors.mapInArrow(_index(hashing), "group bigint, cell bigint, vec_id bigint, embedding array<double>")
+    visits = queries.mapInArrow(_visits(hashing), "group bigint, cells array<bigint>, vec_id bigint, embedding array<double>")
+    count = lambda df, name, block: df.groupBy("group").agg(F.ceil(F.count("*") / block).cast("int").alias(name))
+    deal = written(count(cells, "nv", VECTORS).join(count(visits, "nq", QUERIES), "group"), "groups")
     h = lambda n: F.pmod(F.xxhash64("vec_id"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = cells.join(deal, "cell").withColumn("v", h("nv")).withColumn("q", every("nq")).select("cell", "v", "q", "vec_id", "embedding")
-    right = visits.join(deal, "cell").withColumn("q", h("nq")).withColumn("v", every("nv")).select("cell", "v", "q", "vec_id", "embedding")
-    ranked = left.groupBy("cell", "v", "q").cogroup(right.groupBy("cell", "v", "q")).applyInArrow(
+    left = cells.join(deal, "group").withColumn("v", h("nv")).withColumn("q", every("nq")).select("group", "v", "q", "cell", "vec_id", "embedding")
+    right = visits.join(deal, "group").withColumn("q", h("nq")).withColumn("v", every("nv")).select("group", "v", "q", "cells", "vec_id", "embedding")
+    ranked = left.groupBy("group", "v", "q").cogroup(right.groupBy("group", "v", "q")).applyInArrow(
         _rank(top), "query_id bigint, vec_id bigint, score double"
     )
     merged = ranked.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
