@@ -12,7 +12,9 @@ Spark deals out groups of cells, those that agree in the first projections, as m
 bring a group to a block's size. A query goes to a group once, with the list of the cells it visits
 there. A task holds a block of a group's vectors and the queries that visit it, ranks the visited
 cells exactly in double precision and keeps the nearest per query; tables are then merged. Large
-groups are cut into blocks, so none is capped.
+groups are cut into blocks, so none is capped. The likeliest group of the first table goes ahead:
+the scores found there are a border that later groups need not report below, so that a query gives
+about as many rows however many blocks it visits.
 """
 
 from __future__ import annotations
@@ -119,13 +121,15 @@ def _visits(tables: _Tables):
                 for t in range(len(z)):
                     who, cells = tables.probes(z[t])
                     group, cell = tables.group(t, cells), tables.cell(t, cells)
+                    likeliest = group[np.flatnonzero(np.append(True, who[1:] != who[:-1]))]
                     order = np.lexsort((cell, group, who))
                     who, group, cell = who[order], group[order], cell[order]
                     first = np.flatnonzero(np.append(True, (who[1:] != who[:-1]) | (group[1:] != group[:-1])))
+                    ahead = group[first] == likeliest[who[first]] if t == 0 else np.zeros(len(first), bool)
                     rows = batch.take(pa.array(who[first]))
                     visited = pa.ListArray.from_arrays(pa.array(np.append(first, len(who)), pa.int32()), pa.array(cell))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(group[first]), visited, *rows.columns], ["group", "cells", *batch.schema.names]
+                        [pa.array(group[first]), visited, pa.array(ahead), *rows.columns], ["group", "cells", "ahead", *batch.schema.names]
                     )
 
     return run
@@ -143,6 +147,7 @@ def _rank(top: int):
             cells, starts = np.unique(left["cell"].to_numpy(), return_index=True)
             ends = np.append(starts[1:], len(ids))
             visits = right["cells"].combine_chunks()
+            borders = right["border"].to_numpy()
             for at in range(0, len(who), 128):
                 part = visits.slice(at, 128)
                 of = np.repeat(np.arange(len(part)), part.value_lengths().to_numpy())
@@ -154,10 +159,11 @@ def _rank(top: int):
                         scores[rows, start:end] = asked[at + rows] @ vectors[start:end].T
                 scores[who[at : at + 128, None] == ids[None, :]] = -np.inf
                 for i, row in enumerate(scores):
-                    met = np.isfinite(row)
+                    met = np.isfinite(row) & (row >= borders[at + i])
                     usable = int(met.sum())
                     if not usable:
                         continue
+                    row = np.where(met, row, -np.inf)
                     border = np.partition(row, len(row) - top)[len(row) - top] if usable > top else -np.inf
                     # A matrix product may round alike vectors differently; those near the border
                     # are measured again, one by one, before ties are told apart.
@@ -230,18 +236,30 @@ def nearest_neighbours(
     hashing = _Tables(dim, tables, width, longest, distance, recall, leading)
 
     cells = vectors.mapInArrow(_index(hashing), "group bigint, cell bigint, vec_id bigint, embedding array<double>")
-    visits = queries.mapInArrow(_visits(hashing), "group bigint, cells array<bigint>, vec_id bigint, embedding array<double>")
+    visits = queries.mapInArrow(_visits(hashing), "group bigint, cells array<bigint>, ahead boolean, vec_id bigint, embedding array<double>")
     count = lambda df, name, block: df.groupBy("group").agg(F.ceil(F.count("*") / block).cast("int").alias(name))
-    deal = written(count(cells, "nv", VECTORS).join(count(visits, "nq", QUERIES), "group"), "groups")
     h = lambda n: F.pmod(F.xxhash64("vec_id"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    left = cells.join(deal, "group").withColumn("v", h("nv")).withColumn("q", every("nq")).select("group", "v", "q", "cell", "vec_id", "embedding")
-    right = visits.join(deal, "group").withColumn("q", h("nq")).withColumn("v", every("nv")).select("group", "v", "q", "cells", "vec_id", "embedding")
-    ranked = left.groupBy("group", "v", "q").cogroup(right.groupBy("group", "v", "q")).applyInArrow(
-        _rank(top), "query_id bigint, vec_id bigint, score double"
+
+    def ranked(visits: DataFrame) -> DataFrame:
+        deal = written(count(cells, "nv", VECTORS).join(count(visits, "nq", QUERIES), "group"), "groups")
+        left = cells.join(deal, "group").withColumn("v", h("nv")).withColumn("q", every("nq")).select("group", "v", "q", "cell", "vec_id", "embedding")
+        right = visits.join(deal, "group").withColumn("q", h("nq")).withColumn("v", every("nv")).select(
+            "group", "v", "q", "cells", "vec_id", "embedding", "border"
+        )
+        found = left.groupBy("group", "v", "q").cogroup(right.groupBy("group", "v", "q")).applyInArrow(
+            _rank(top), "query_id bigint, vec_id bigint, score double"
+        )
+        merged = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+        order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        return merged.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
+
+    lowest = F.lit(float("-inf"))
+    early = ranked(visits.filter("ahead").withColumn("border", lowest))
+    # A little lower, since a matrix product rounds differently.
+    borders = written(
+        early.filter(F.col("rank") == top).select(F.col("query_id").alias("vec_id"), (F.col("score") - (F.abs("score") * 1e-9 + 1e-12 * longest**2)).alias("border")), "borders"
     )
-    merged = ranked.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return merged.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top).select(
+    return ranked(visits.join(borders, "vec_id", "left").withColumn("border", F.coalesce("border", lowest))).select(
         "query_id", F.col("rank").cast("int"), "vec_id", "score"
     )
