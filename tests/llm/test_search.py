@@ -118,3 +118,16 @@ def test_block_max_index_is_exact():
         q[t] = index.vector(np.array(t), np.array(c))
         want = np.sort(vectors @ q)[::-1][:16]
         assert np.allclose(index.nearest(t, c, 16)[1], want[want > 0])
+
+
+def test_nearest_with_copies_of_a_near_vector(spark):
+    draw = np.random.default_rng(8)
+    x = draw.standard_normal((60, 8)) * 0.05 + np.ones(8)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    rows += [(70, (np.ones(8) * 3).tolist())] * 30 + [(71, (np.ones(8) * (3 - 0.01 * j)).tolist()) for j in range(30)]
+    vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    found = multiprobe.nearest_neighbours(vectors, vectors.filter("vec_id = 0"), top=20).collect()
+    scores = {70: x[0].sum() * 3, 71: x[0].sum() * 3, **{i: float(v @ x[0]) for i, v in enumerate(x) if i}}
+    got = {r.vec_id: r.score for r in found}
+    assert sorted(r.rank for r in found) == list(range(1, 21)) and {70, 71} <= set(got)
+    assert np.allclose([got[i] for i in got], [scores[i] for i in got])

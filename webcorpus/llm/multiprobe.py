@@ -144,6 +144,8 @@ def _rank(top: int):
             left = left.sort_by([("cell", "ascending"), ("vec_id", "ascending")])
             vectors, asked = _matrix(left["embedding"]), _matrix(right["embedding"])
             ids, who = left["vec_id"].to_numpy(), right["vec_id"].to_numpy()
+            by_id = np.argsort(ids, kind="stable")
+            firsts = np.flatnonzero(np.append(True, np.diff(ids[by_id]) != 0))
             cells, starts = np.unique(left["cell"].to_numpy(), return_index=True)
             ends = np.append(starts[1:], len(ids))
             visits = right["cells"].combine_chunks()
@@ -160,16 +162,19 @@ def _rank(top: int):
                 scores[who[at : at + 128, None] == ids[None, :]] = -np.inf
                 for i, row in enumerate(scores):
                     met = np.isfinite(row) & (row >= borders[at + i])
-                    usable = int(met.sum())
-                    if not usable:
+                    if not met.any():
                         continue
                     row = np.where(met, row, -np.inf)
-                    border = np.partition(row, len(row) - top)[len(row) - top] if usable > top else -np.inf
+                    # A vec_id that comes several times counts once, with its best score.
+                    once = row if len(firsts) == len(ids) else np.maximum.reduceat(row[by_id], firsts)
+                    usable = int(np.isfinite(once).sum())
+                    border = np.partition(once, len(once) - top)[len(once) - top] if usable > top else -np.inf
                     # A matrix product may round alike vectors differently; those near the border
                     # are measured again, one by one, before ties are told apart.
                     keep = np.flatnonzero(met & (row >= border - 1e-9 * np.abs(row[met]).max()))
                     exact = (vectors[keep] * asked[at + i]).sum(axis=1)
-                    best = np.lexsort((ids[keep], -exact))[:top]
+                    best = np.lexsort((ids[keep], -exact))
+                    best = best[np.sort(np.unique(ids[keep][best], return_index=True)[1])][:top]
                     out.append((np.full(len(best), who[at + i]), ids[keep][best], exact[best]))
         if not out:
             return schema.empty_table()
@@ -218,7 +223,8 @@ def nearest_neighbours(
         return spark.createDataFrame([], schema)
     dim, n, longest = shape["dim"], shape["n"], math.sqrt(shape["sq"])
     same = F.size("embedding") == dim
-    vectors, queries = vectors.filter(same), queries.filter(same)
+    vectors, queries = vectors.filter(same).dropDuplicates(["vec_id", "embedding"]), queries.filter(same)
+    vectors = written(vectors, "vectors")
 
     sample = queries.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).collect()
     if not sample:
@@ -238,7 +244,7 @@ def nearest_neighbours(
     cells = vectors.mapInArrow(_index(hashing), "group bigint, cell bigint, vec_id bigint, embedding array<double>")
     visits = queries.mapInArrow(_visits(hashing), "group bigint, cells array<bigint>, ahead boolean, vec_id bigint, embedding array<double>")
     count = lambda df, name, block: df.groupBy("group").agg(F.ceil(F.count("*") / block).cast("int").alias(name))
-    h = lambda n: F.pmod(F.xxhash64("vec_id"), F.col(n)).cast("int")
+    h = lambda n: F.pmod(F.xxhash64("vec_id", "embedding"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
 
     def ranked(visits: DataFrame) -> DataFrame:
