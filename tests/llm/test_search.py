@@ -131,3 +131,25 @@ def test_nearest_with_copies_of_a_near_vector(spark):
     got = {r.vec_id: r.score for r in found}
     assert sorted(r.rank for r in found) == list(range(1, 21)) and {70, 71} <= set(got)
     assert np.allclose([got[i] for i in got], [scores[i] for i in got])
+
+
+def test_nearest_gives_all_of_few_candidates(spark):
+    x = np.random.default_rng(5).standard_normal((15, 16))
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id bigint, embedding array<double>")
+    found = multiprobe.nearest_neighbours(vectors, vectors, top=20).collect()
+    assert {(r.query_id, r.vec_id) for r in found} == {(i, j) for i in range(15) for j in range(15) if i != j}
+
+
+def test_probes_reach_what_a_table_owes():
+    draw = np.random.default_rng(1)
+    for width in (5, 6):
+        tables = multiprobe._Tables(8, 3, width, 1.0, 2**0.5, 0.95, 1)
+        z = draw.uniform(-3, 3, (20, width))
+        who, cells = tables.probes(z)
+        assert (tables.reaches(z) <= tables.furthest).all()
+        hits = np.zeros(len(z))
+        chance = tables.chances(z, tables.furthest)
+        for q, cell in zip(who, cells):
+            steps = cell - np.floor(z[q]).astype(int) + tables.furthest
+            hits[q] += np.prod([chance[s, q, j] for j, s in enumerate(steps)])
+        assert (hits >= tables.owed - 1e-9).all()

@@ -5,7 +5,8 @@ that the largest inner product is the least Euclidean distance. A table hashes a
 of a few Gaussian projections cut at a fixed width. For a query, the projection of the difference
 to a neighbour at distance d is Gaussian with deviation d, which gives each neighbouring cell its
 chance of holding the neighbour; cells are visited from the likeliest on until the chances add up
-to what the table owes for the target recall. The distance is fitted on a bounded sample of
+to what the table owes for the target recall, however far that reaches. A query for which it would
+be too many cells, or which found too few neighbours, is ranked against all rows, block by block. The distance is fitted on a bounded sample of
 queries against all rows, the number of projections grows with the logarithm of the rows.
 
 Spark deals out groups of cells, those that agree in the first projections, as many of these as
@@ -33,6 +34,8 @@ from webcorpus.llm.common import written
 SAMPLE = 48  # queries that fit the neighbour distance
 VECTORS = 4096  # vectors of a block
 QUERIES = 1024  # queries of a block
+CELLS = 1 << 17  # cells around a query that a table weighs at most
+FURTHEST = 8  # cells to either side at most: no distance of vectors of length 1 reaches further
 WIDTH = 1.5  # of a cell, for vectors of length 1
 
 
@@ -57,7 +60,8 @@ class _Tables:
         self.b = draw.uniform(0, WIDTH, (tables, width))
         self.longest, self.distance, self.leading = longest, distance, leading
         self.owed = 1 - (1 - recall) ** (1 / tables)
-        self.steps = np.array(list(itertools.product((-1, 0, 1), repeat=width)))
+        self.width, self.steps = width, {}
+        self.furthest = min(FURTHEST, max(1, (int(CELLS ** (1 / width) + 1e-9) - 1) // 2))
 
     def place(self, x: np.ndarray, query: bool) -> np.ndarray:
         """Positions in units of cells, by table."""
@@ -80,22 +84,60 @@ class _Tables:
         """The name of a cell's group."""
         return self.cell(table, cells[..., : self.leading])
 
+    def chances(self, z: np.ndarray, reach: int) -> np.ndarray:
+        """The chance of each cell up to `reach` to either side, by projection."""
+        inside = z - np.floor(z)
+        edges = np.stack([(e - inside) * WIDTH / self.distance for e in range(-reach, reach + 2)])
+        return np.diff(0.5 * (1 + np.vectorize(math.erf, otypes=[float])(edges / math.sqrt(2))), axis=0)
+
+    def reaches(self, z: np.ndarray) -> np.ndarray:
+        """How far each query of one table has to look for the chances to reach what is owed; one
+        more than `furthest` where that is too little."""
+        out = np.full(len(z), self.furthest + 1)
+        left = np.arange(len(z))
+        for reach in range(1, self.furthest + 1):
+            met = self.chances(z[left], reach).sum(axis=0).prod(axis=1) >= self.owed
+            out[left[met]] = reach
+            left = left[~met]
+            if not len(left):
+                break
+        return out
+
     def probes(self, z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Query numbers and cells to visit in one table, likeliest first."""
-        base = np.floor(z)
-        inside = z - base
-        s = self.distance / WIDTH
-        edges = np.stack([(e - inside) / s for e in (-1, 0, 1, 2)])
-        below = 0.5 * (1 + np.vectorize(math.erf)(edges / math.sqrt(2)))
-        chance = np.diff(below, axis=0)  # of the cell before, the own one, the one after
-        total = np.ones((len(z), len(self.steps)))
-        for j in range(z.shape[1]):
-            total *= chance[self.steps[:, j] + 1, :, j].T
-        order = np.argsort(-total, axis=1, kind="stable")
-        gained = np.cumsum(np.take_along_axis(total, order, 1), axis=1)
-        visits = np.column_stack((np.ones(len(z), bool), gained[:, :-1] < self.owed))
-        who, nth = np.nonzero(visits)
-        return who, (base[who] + self.steps[order[who, nth]]).astype(np.int64)
+        reaches = np.minimum(self.reaches(z), self.furthest)
+        found = []
+        for reach in np.unique(reaches).tolist():
+            if reach not in self.steps:
+                self.steps[reach] = np.array(list(itertools.product(range(-reach, reach + 1), repeat=self.width)))
+            steps, own = self.steps[reach], np.flatnonzero(reaches == reach)
+            part = max(1, (1 << 20) // len(steps))
+            for at in range(0, len(own), part):
+                here = own[at : at + part]
+                chance, base = self.chances(z[here], reach), np.floor(z[here])
+                total = np.ones((len(here), len(steps)))
+                for j in range(self.width):
+                    total *= chance[steps[:, j] + reach, :, j].T
+                order = np.argsort(-total, axis=1, kind="stable")
+                gained = np.cumsum(np.take_along_axis(total, order, 1), axis=1)
+                who, nth = np.nonzero(np.column_stack((np.ones(len(here), bool), gained[:, :-1] < self.owed)))
+                found.append((here[who], (base[who] + steps[order[who, nth]]).astype(np.int64)))
+        who, cells = (np.concatenate(c) for c in zip(*found))
+        order = np.argsort(who, kind="stable")
+        return who[order], cells[order]
+
+
+def _beyond(tables: _Tables):
+    """The queries for which some table cannot reach what it owes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                z = tables.place(_matrix(batch.column("embedding")), query=True)
+                far = np.any([tables.reaches(table) > tables.furthest for table in z], axis=0)
+                yield batch.select(["vec_id"]).filter(pa.array(far))
+
+    return run
 
 
 def _index(tables: _Tables):
@@ -207,7 +249,7 @@ def nearest_neighbours(
     candidate. Vectors that are NULL, empty or zero or hold NULL or non-finite components take no
     part, nor do NULL ids or vectors of another length than most have. A vec_id that comes
     several times counts once per query, with its best score; fewer candidates than asked for
-    are all returned where the visited cells hold them. Other columns are not read. Tables without
+    are all returned. Other columns are not read. Tables without
     valid vectors give no rows.
     """
     spark = vectors.sparkSession
@@ -247,7 +289,7 @@ def nearest_neighbours(
     h = lambda n: F.pmod(F.xxhash64("vec_id", "embedding"), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
 
-    def ranked(visits: DataFrame) -> DataFrame:
+    def ranked(cells: DataFrame, visits: DataFrame) -> DataFrame:
         deal = written(count(cells, "nv", VECTORS).join(count(visits, "nq", QUERIES), "group"), "groups")
         left = cells.join(deal, "group").withColumn("v", h("nv")).withColumn("q", every("nq")).select("group", "v", "q", "cell", "vec_id", "embedding")
         right = visits.join(deal, "group").withColumn("q", h("nq")).withColumn("v", every("nv")).select(
@@ -261,11 +303,22 @@ def nearest_neighbours(
         return merged.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
 
     lowest = F.lit(float("-inf"))
-    early = ranked(visits.filter("ahead").withColumn("border", lowest))
+    early = ranked(cells, visits.filter("ahead").withColumn("border", lowest))
     # A little lower, since a matrix product rounds differently.
     borders = written(
         early.filter(F.col("rank") == top).select(F.col("query_id").alias("vec_id"), (F.col("score") - (F.abs("score") * 1e-9 + 1e-12 * longest**2)).alias("border")), "borders"
     )
-    return ranked(visits.join(borders, "vec_id", "left").withColumn("border", F.coalesce("border", lowest))).select(
-        "query_id", F.col("rank").cast("int"), "vec_id", "score"
-    )
+    result = lambda df: df.select("query_id", F.col("rank").cast("int"), "vec_id", "score")
+    found = written(result(ranked(cells, visits.join(borders, "vec_id", "left").withColumn("border", F.coalesce("border", lowest)))), "found")
+
+    # Queries that the cells serve too little meet all rows, block by block.
+    enough = min(top, vectors.select("vec_id").distinct().count())
+    served = found.groupBy(F.col("query_id").alias("vec_id")).agg(F.count("*").alias("n")).filter(F.col("n") >= enough).select("vec_id")
+    short = queries.select("vec_id").join(served, "vec_id", "left_anti").unionByName(queries.mapInArrow(_beyond(hashing), "vec_id bigint"))
+    short = written(short.distinct(), "short")
+    if short.isEmpty():
+        return found
+    one = F.lit(0).cast("bigint")
+    everything = vectors.select(one.alias("group"), one.alias("cell"), "vec_id", "embedding")
+    asking = queries.join(short, "vec_id", "left_semi").select(one.alias("group"), F.array(one).alias("cells"), "vec_id", "embedding", lowest.alias("border"))
+    return found.join(short, found.query_id == short.vec_id, "left_anti").unionByName(result(ranked(everything, asking)))
