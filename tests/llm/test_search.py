@@ -153,3 +153,13 @@ def test_probes_reach_what_a_table_owes():
             steps = cell - np.floor(z[q]).astype(int) + tables.furthest
             hits[q] += np.prod([chance[s, q, j] for j, s in enumerate(steps)])
         assert (hits >= tables.owed - 1e-9).all()
+
+
+def test_a_long_item_does_not_widen_the_window_of_a_short_one(spark):
+    short = [f"s{i}" for i in range(24)]
+    bench = [(1, " ".join(short[:14]) + ". " + " ".join(short[14:]) + "."), (2, " ".join(f"l{i}" for i in range(3000)))]
+    scattered = [w for i in range(23) for w in [short[i], short[i + 1], *(f"c{i}x{j}" for j in range(100))]]
+    docs = [(10, " ".join(scattered)), (11, " ".join(scattered[:700] + short + scattered[700:])), (12, "x " * 500 + bench[1][1])]
+    items = spark.createDataFrame(bench, "item_id bigint, text string")
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    assert {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(frame, items).collect()} == {(11, 1), (12, 2)}

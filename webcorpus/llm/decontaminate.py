@@ -6,8 +6,9 @@ holds and one threshold serves all items. Every passage of every document is a q
 WAND retrieves all items above the threshold: posting lists are cut into blocks that keep their
 greatest weight, the cursors move by item number, and a candidate is scored only where the block
 weights of its terms can reach the threshold. A passage whose terms' greatest weights don't reach
-it together has no pivot and ends there. What is retrieved is verified: the question and the
-answer of the item must each be found in the passage.
+it together has no pivot and ends there. What is retrieved is verified in windows of twice the
+item's own length (PASSAGE words at least), which the other items don't change: one must score the
+threshold and hold the question and the answer.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 K1, B = 1.2, 0.75  # fixed values: the usual BM25 parameters
 BLOCK = 64  # postings of a block
-PASSAGE = 128  # words of a passage at least; half of it is the step
+PASSAGE = 128  # words of an item's window at least; half of it is the step
 ITEMS = 20_000  # items of one index; more items are several indexes
 
 _TABLE = bytes(c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
@@ -57,7 +58,8 @@ class Index:
         for doc in docs:
             for word in doc:
                 self.words.setdefault(word, len(self.words))
-        self.longest = max(map(len, docs), default=0)
+        # An item is looked for in windows of its own size, whatever the other items are.
+        self.windows = [max(PASSAGE, 2 * len(doc)) for doc in docs]
         size = len(self.words)
         self.postings: dict[int, list[tuple[int, float]]] = {}
         for i, doc in enumerate(docs):
@@ -73,6 +75,10 @@ class Index:
                 self.postings.setdefault(self.words[a] * size + self.words[b], []).append((i, weight / whole))
         self.codes = np.array(sorted(self.postings), np.int64)
         self.lists = [self.postings[c] for c in self.codes.tolist()]
+        self.weights: list[dict[int, float]] = [{} for _ in docs]
+        for t, found in enumerate(self.lists):
+            for i, weight in found:
+                self.weights[i][t] = weight
         self.numbers = [[i for i, _ in p] for p in self.lists]
         self.blocks = [
             [(p[min(s + BLOCK, len(p)) - 1][0], max(w for _, w in p[s : s + BLOCK])) for s in range(0, len(p), BLOCK)] for p in self.lists
@@ -159,8 +165,9 @@ def _search(model, threshold: float, question: float, answer: float):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index: Index = model.value
-        size = max(PASSAGE, 2 * index.longest)
-        step, none = size // 2, len(index.codes)
+        # A passage holds all windows that begin in its first half.
+        step = max(index.windows, default=PASSAGE)
+        size, none = 2 * step, len(index.codes)
         for batch in batches:
             rows = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
@@ -170,16 +177,24 @@ def _search(model, threshold: float, question: float, answer: float):
                     continue
                 # What the terms of each passage can bring at most, by running sums.
                 sums = np.concatenate(([0.0], np.cumsum(index.most[terms])))
-                starts = np.arange(0, max(len(found) - step, 1), step)
+                starts = np.arange(0, len(found), step)
                 reach = sums[np.minimum(starts + size - 1, len(terms))] - sums[starts]
                 for start in starts[reach >= threshold - 1e-9].tolist():
                     own = sorted(set(terms[start : start + size - 1].tolist()) - {none})
-                    for i, score in index.retrieve(own, threshold):
+                    for i, _ in index.retrieve(own, threshold):
                         item_id, q, a = index.items[i]
-                        passage = found[start : start + size]
-                        of_q, of_a = overlap(q, passage), overlap(a, passage)
-                        if of_q >= question and of_a >= answer:
-                            rows.append((doc_id, item_id, start, score, of_q, of_a))
+                        weights, wide = index.weights[i], index.windows[i]
+                        brings = np.cumsum([0.0, *(weights.get(t, 0.0) for t in terms[start : start + step + wide].tolist())])
+                        half = wide // 2
+                        upto = min(start + step, max(len(found) - half, 1))
+                        places = np.arange(-(-start // half) * half, upto, half)
+                        ends = np.minimum(places - start + wide - 1, len(brings) - 1)
+                        for at in places[brings[ends] - brings[places - start] >= threshold - 1e-9].tolist():
+                            score = sum(weights.get(t, 0.0) for t in set(terms[at : at + wide - 1].tolist()))
+                            window = found[at : at + wide]
+                            of_q, of_a = overlap(q, window), overlap(a, window)
+                            if score >= threshold - 1e-9 and of_q >= question and of_a >= answer:
+                                rows.append((doc_id, item_id, at, score, of_q, of_a))
             yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in rows], schema=schema)
 
     return run
