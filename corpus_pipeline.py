@@ -10,6 +10,7 @@ from webcorpus.llm.common import prepare, table, written
 from webcorpus.session import ship_package
 
 CERTAIN = 0.4  # least score of a language that is kept
+ROW = "__row"  # the number of a row within a stage
 
 
 def _ready(spark: SparkSession) -> None:
@@ -25,21 +26,31 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return found.filter((F.col("lang_pred") != "und") & (F.col("score") >= CERTAIN)).select(*docs.columns)
 
 
+def _keyed(docs: DataFrame, label: str) -> DataFrame:
+    """The rows with a unique number each, written so that it stays."""
+    return written(docs.withColumn(ROW, F.monotonically_increasing_id()), label)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: the one with the least doc_id, and one of its
-    rows where it has several. Rows without a doc_id are kept."""
+    """One row of each group of near-duplicates: one with the least doc_id. Rows that share a doc_id
+    but not their text are told apart. Rows without a doc_id are kept."""
     _ready(spark)
-    found = chosen_path.near_duplicates(docs, k=5, above=100, below=80)
-    kept = found.filter("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
-    return named.unionByName(docs.filter("doc_id IS NULL"))
+    rows = _keyed(docs, "dedup-rows")
+    named = rows.filter("doc_id IS NOT NULL")
+    found = chosen_path.near_duplicates(named.select(F.col(ROW).alias("doc_id"), "text"), k=5, above=100, below=80)
+    groups = found.select(F.col("doc_id").alias(ROW), "component_id").join(named.select(ROW, "doc_id"), ROW)
+    kept = groups.groupBy("component_id").agg(F.min(F.struct("doc_id", ROW)).alias("least")).select(f"least.{ROW}")
+    named = named.join(kept, ROW, "left_semi").dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    return named.unionByName(rows.filter("doc_id IS NULL").select(*docs.columns))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Rows that hold no benchmark item, with or without a doc_id."""
     _ready(spark)
-    leaks = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(leaks, "doc_id", "left_anti").select(*docs.columns)
+    rows = _keyed(docs, "leak-rows")
+    texts = rows.select(F.col(ROW).alias("doc_id"), "text")
+    leaks = decontaminate.find_leaks(texts, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias(ROW)).distinct()
+    return rows.join(leaks, ROW, "left_anti").select(*docs.columns)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

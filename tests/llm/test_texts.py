@@ -148,3 +148,16 @@ def test_pipeline_stages(spark, rows, tmp_path):
     if rows:
         assert kept == [[1, 2, 3], [1, 3], [1], [1]] and frame.first().text.endswith("[SECRET]")
     assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == ({1} if rows else set())
+
+
+def test_stages_decide_by_row(spark, tmp_path):
+    leak = "what is the name of the largest city in the far north. it is called northville by all."
+    clean = " ".join(f"word{i} stands here" for i in range(40))
+    other = " ".join(f"thing{i} lies there" for i in range(40))
+    docs = [(None, f"we know {leak} right"), (None, clean), (1, f"we know {leak} right"), (1, clean), (1, other), (2, clean)]
+    spark.createDataFrame([(1, leak)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    rows = lambda df: sorted((r.doc_id or 0, r.text) for r in df.collect())
+    assert rows(corpus_pipeline.decontamination(spark, frame, str(tmp_path))) == sorted([(0, clean), (1, clean), (1, other), (2, clean)])
+    kept = rows(corpus_pipeline.near_dedup(spark, frame, str(tmp_path)))
+    assert kept == sorted([(0, docs[0][1]), (0, clean), (1, docs[2][1]), (1, clean), (1, other)])
