@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from webcorpus.llm import chaining, chat_format, chosen_path, decontaminate, language, multiprobe, packing, secrets, toxicity, url_filter
+from webcorpus.llm import chaining, chat_format, chosen_path, decontaminate, language, multiprobe, packing, secrets, simhash_trie, toxicity, url_filter
 from webcorpus.llm.common import prepare, table
 
 
@@ -161,6 +161,11 @@ def op10_shared_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chaining.shared_passages(table(spark, sf_dir, "documents"), least=50, similarity=0.8)
 
 
+def op11_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return simhash_trie.near_duplicates(table(spark, sf_dir, "documents"), k=3, within=3)
+
+
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_packing": op2_packing,
@@ -172,6 +177,7 @@ QUERIES = {
     "op8_language": op8_language,
     "op9_toxicity": op9_toxicity,
     "op10_shared_passages": op10_shared_passages,
+    "op11_simhash_trie": op11_simhash_trie,
 }
 SQL: dict[str, str] = {
     "op5_chat_format": _op5_sql(),
