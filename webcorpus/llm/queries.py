@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import hashlib
+from collections.abc import Iterator
 
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webcorpus.llm import chaining, chat_format, chosen_path, decontaminate, language, multiprobe, packing, secrets, simhash_trie, toxicity, url_filter
+from webcorpus.llm import chaining, chat_format, chosen_path, collocations, decontaminate, language, multiprobe, packing, secrets, simhash_trie, toxicity, turn_auction, url_filter
 from webcorpus.llm.common import prepare, table
 
 
@@ -166,6 +169,146 @@ def op11_simhash_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_trie.near_duplicates(table(spark, sf_dir, "documents"), k=3, within=3)
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return collocations.phrases(table(spark, sf_dir, "documents"), least=100, longest=5, top=2000)
+
+
+OP12_SQL = r"""
+    WITH pieces AS (
+        SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents
+    ), worded AS (
+        SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS ws FROM pieces
+    ), placed AS (
+        SELECT lang, ws, m, unnest(generate_series(1, len(ws) - m + 1)) AS i FROM worded, (SELECT unnest([1, 2, 3, 4, 5]) AS m) WHERE len(ws) >= m
+    ), f AS (
+        SELECT lang, m, array_to_string(ws[i:i + m - 1], ' ') AS phrase, count(*) AS a FROM placed GROUP BY ALL
+    ), totals AS (
+        SELECT lang, sum(a) AS n FROM f WHERE m = 1 GROUP BY lang
+    ), candidate AS (
+        SELECT *, string_split(phrase, ' ') AS ws FROM f WHERE m >= 2 AND a >= 100
+    ), inside AS (
+        SELECT DISTINCT c.lang, c.phrase FROM candidate c JOIN candidate d
+        ON c.lang = d.lang AND d.m > c.m AND contains(' ' || d.phrase || ' ', ' ' || c.phrase || ' ') AND 100 * d.a >= 100 * c.a
+    ), cut AS (
+        SELECT c.lang, c.phrase, c.a, k, l.a AS l, r.a AS r, t.n,
+            (1000 * c.a::HUGEINT * t.n::HUGEINT) // (l.a::HUGEINT * r.a::HUGEINT) AS score
+        FROM (SELECT *, unnest(generate_series(1, m - 1)) AS k FROM candidate) c
+        JOIN totals t ON t.lang = c.lang
+        JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.ws[1:k], ' ')
+        JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.ws[k + 1:], ' ')
+    ), best AS (
+        SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS nth FROM cut
+    ), ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+        FROM best b WHERE nth = 1 AND NOT EXISTS (SELECT 1 FROM inside i WHERE i.lang = b.lang AND i.phrase = b.phrase)
+    )
+    SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+    FROM ranked WHERE rank <= 2000"""
+
+
+def _damaged(rows: DataFrame) -> DataFrame:
+    """Conversation rows with faults, by a checksum of their number."""
+    space = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    fate = F.crc32(F.concat(space("conv_id"), F.lit(":"), space("turn")).cast("binary")) % 20
+    rows = rows.select("conv_id", "turn", space("role").alias("role"), space("text").alias("text"), fate.alias("fate"))
+    text = F.when(F.col("fate") == 1, "").when(F.col("fate") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    copies = F.explode(F.array_repeat(F.lit(0), F.when(F.col("fate") == 3, 2).otherwise(1)))
+    role = F.when(F.col("fate") == 4, "user").otherwise(F.col("role"))
+    return rows.filter("fate <> 0").select("conv_id", "turn", role.alias("role"), text.alias("text"), copies.alias("copy")).drop("copy")
+
+
+def _told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Digests of repaired conversations, whose rows come in order."""
+    told, digest = None, None
+    for batch in batches:
+        done = []
+        for conv, line, role, text in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "line", "role", "text"))):
+            if line == 1:
+                if digest is not None:
+                    done.append((told, digest.hexdigest()))
+                told, digest = conv, hashlib.sha256()
+            else:
+                digest.update(b"\n")
+            digest.update(f"{role}:{text}".encode())
+        yield pa.RecordBatch.from_arrays([pa.array([c for c, _ in done], pa.int64()), pa.array([d for _, d in done], pa.string())], ["told", "repaired_sha256"])
+    if digest is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([told], pa.int64()), pa.array([digest.hexdigest()], pa.string())], ["told", "repaired_sha256"])
+
+
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    rows = table(spark, sf_dir, "conversations")
+    audits, repaired = turn_auction.repair_conversations(_damaged(rows))
+    digests = repaired.mapInArrow(_told, "told bigint, repaired_sha256 string")
+    named = audits.withColumnRenamed("conv_id", "audited")
+    every = rows.select(F.col("conv_id").cast("bigint").alias("conv_id")).distinct()
+    out = every.join(named, F.col("conv_id").eqNullSafe(F.col("audited")), "left").join(
+        digests, F.col("conv_id").eqNullSafe(F.col("told")), "left"
+    )
+    counts = [F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    empty = hashlib.sha256().hexdigest()
+    return out.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.lit(empty)).alias("repaired_sha256"))
+
+
+def _op13_sql() -> str:
+    """The edits by steps from row to row: in each state, the least cost with its first letters."""
+    add = lambda state, cost, letter, said: f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 't': {state}.t || {said}}}"
+    least = lambda *ways: f"list_sort([{', '.join(ways)}])[1]"
+    never = "{'c': 1000000000, 'a': '', 't': ''}"
+    line = "chr(10) || d.role || ':' || d.text"
+    user, assistant = "chr(10) || 'user:'", "chr(10) || 'assistant:'"
+    kept = lambda ok, state: f"CASE WHEN {ok} AND NOT d.gone THEN {add(state, '3 * d.cut', 'K', line)} ELSE {never} END"
+    forced = lambda state, head: f"CASE WHEN NOT d.gone THEN {add(state, '3 + 3 * d.cut', 'R', head + ' || d.text')} ELSE {never} END"
+    gone = lambda state: add(state, 4, "D", "''")
+    turn_to = lambda rows: (
+        f"SELECT * REPLACE ({least('s3', add('s2', 3, 'I', assistant))} AS s3) FROM (SELECT * REPLACE ("
+        f"{least('s2', add('s0', 3, 'I', user), add('s1', 3, 'I', user), add('s3', 3, 'I', user))} AS s2) FROM ({rows}))"
+    )
+    step = f"""
+        SELECT d.conv_id, d.nth, {gone('p.s0')} AS s0,
+            {least(gone('p.s1'), kept("d.initial = 's'", 'p.s0'))} AS s1,
+            {least(gone('p.s2'), *[kept("d.initial = 'u'", f'p.{s}') for s in ('s0', 's1', 's3')], *[forced(f'p.{s}', user) for s in ('s0', 's1', 's3')])} AS s2,
+            {least(gone('p.s3'), kept("d.initial = 'a'", 'p.s2'), forced('p.s2', assistant))} AS s3
+        FROM paths p JOIN faults d ON d.conv_id IS NOT DISTINCT FROM p.conv_id AND d.nth = p.nth + 1"""
+    start = f"SELECT DISTINCT conv_id, 0::BIGINT AS nth, {{'c': 0, 'a': '', 't': ''}} AS s0, {never} AS s1, {never} AS s2, {never} AS s3 FROM conversations"
+    bytes_of = "list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''), lambda c: [ascii(c), -1, -1, -1, -1, -1, -1, -1, -1])"
+    return f"""
+        WITH RECURSIVE fated AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                xor(list_reduce(flatten({bytes_of}), lambda c, x: CASE WHEN x >= 0 THEN xor(c, x) ELSE xor(c >> 1, (c & 1) * 3988292384) END, 4294967295), 4294967295) % 20 AS fate
+            FROM conversations
+        ), damaged AS (
+            SELECT conv_id, turn, CASE fate WHEN 4 THEN 'user' ELSE role END AS role,
+                CASE fate WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text
+            FROM fated, (SELECT unnest([1, 2]) AS copy) WHERE fate <> 0 AND (copy = 1 OR fate = 3)
+        ), placed AS (
+            SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS nth,
+                regexp_replace(text, '[\x20\x09-\x0D]+$', '') AS visible
+            FROM damaged
+        ), marked AS (
+            SELECT *, visible = '' AS blank, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY nth) > 1 AS said, role[1] AS initial,
+                lag(role[1]) OVER (PARTITION BY conv_id ORDER BY nth) || role[1] NOT IN ('su', 'ua', 'au') AS illegal
+            FROM placed
+        ), faults AS MATERIALIZED (
+            SELECT *, blank OR said AS gone, CASE WHEN NOT blank AND NOT said AND NOT right(visible, 1) IN ('.', '!', '?') THEN 1 ELSE 0 END AS cut
+            FROM marked
+        ), paths AS ({turn_to(start)} UNION ALL {turn_to(step)}
+        ), finished AS (
+            SELECT conv_id, nth, {least('s0', 's3')} AS way FROM paths
+        ), counted AS (
+            SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+                count(*) FILTER (said AND NOT blank) AS duplicate, sum(cut) AS truncated, count(*) FILTER (illegal) AS illegal, count(*) AS rows
+            FROM faults GROUP BY conv_id
+        )
+        SELECT f.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+            coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, way.c::BIGINT AS cost, way.a AS audit,
+            sha256(substr(way.t, 2)) AS repaired_sha256
+        FROM finished f LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM f.conv_id WHERE f.nth = coalesce(c.rows, 0)"""
+
+
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_packing": op2_packing,
@@ -178,8 +321,12 @@ QUERIES = {
     "op9_toxicity": op9_toxicity,
     "op10_shared_passages": op10_shared_passages,
     "op11_simhash_trie": op11_simhash_trie,
+    "op12_collocations": op12_collocations,
+    "op13_turn_repair": op13_turn_repair,
 }
 SQL: dict[str, str] = {
     "op5_chat_format": _op5_sql(),
     "op6_url_filters": OP6_SQL,
+    "op12_collocations": OP12_SQL,
+    "op13_turn_repair": _op13_sql(),
 }
