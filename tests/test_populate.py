@@ -139,15 +139,60 @@ def test_malformed_objects(spark, index, tmp_path):
         (4, 2): "parse: truncated",
         (5, 0): "parse: bad_gzip",
         (6, 2): "parse: bad_gzip",
+        (7, 0): "parse: bad_gzip",
     }
     state = {r.object_key[-1]: (r.next_record_idx, r.done, r.created) for r in index.progress().collect()}
     assert state == {
         "0": (3, True, 2), "1": (1, False, 1), "2": (0, False, 0), "3": (0, True, 0), "4": (1, False, 1),
         "5": (0, False, 0), "6": (1, False, 1), "7": (0, False, 0),
     }
-    # Broken objects are tried again and still give nothing new.
-    again = populate(index, listed, str(tmp_path))
-    assert (again.objects, again.created) == (6, 0)
+    # Broken objects are settled; tried again on request, they give nothing new and no second reject.
+    assert populate(index, listed, str(tmp_path)).runs == 0
+    again = populate(index, listed, str(tmp_path), retry_failed=True)
+    assert (again.objects, again.created, again.rejected) == (6, 0, 0)
+    assert {(r.object_index, r.record_idx): r.reject_reason for r in index.rejects().collect()} == reasons
+    # A mended object goes on where it stopped, and its reject is gone.
+    write(tmp_path, "g.gz", members(info(), wet(8), wet(9), wet(10)))
+    mended = populate(index, listed, str(tmp_path), retry_failed=True)
+    assert (mended.created, mended.rejected) == (2, -1)
+    assert (6, 2) not in {(r.object_index, r.record_idx) for r in index.rejects().collect()}
+
+
+def test_missing_objects_hold_up_nothing(spark, index, corpus):
+    base, objects, listed = corpus
+    rows = [("0103000000f%d" % i, i, f"none{i}.gz") for i in (0, 5, 99)]
+    gone = spark.createDataFrame(rows, "object_key STRING, object_index BIGINT, path STRING")
+    done = populate(index, listed.unionByName(gone), base, window=4)
+    assert stored(index) == expected(objects) and (done.objects, done.rejected) == (15, 3)
+    assert {r.reject_reason for r in index.rejects().collect()} == {"parse: missing_object"}
+    assert populate(index, listed.unionByName(gone), base).runs == 0
+
+
+def test_objects_that_share_an_index(spark, index, corpus):
+    """Two and three of them, on both sides of a window's border."""
+    base, objects, listed = corpus
+    shared = listed.withColumn("object_index", F.floor(F.col("object_index") / 5).cast("bigint"))
+    populate(index, shared, base, n=7, window=2)
+    populate(index, shared, base, window=2)
+    rows = index.documents().select("doc_id", "object_key", "object_index", "record_idx").collect()
+    want = expected(objects)
+    assert {r.doc_id: (int(r.object_key[4:], 16), r.record_idx) for r in rows} == want and len(rows) == len(want)
+    assert {(r.object_key, r.object_index) for r in rows} == {(f"0103{o:08x}", o // 5) for o, _ in want.values()}
+
+
+def test_a_repeated_key_is_refused(spark, index, corpus):
+    base, _, listed = corpus
+    with pytest.raises(ValueError, match="more than once"):
+        populate(index, listed.unionByName(listed.limit(1)), base)
+
+
+@pytest.mark.parametrize("whole", [False, True])
+def test_other_file_systems_go_through_sparks_readers(spark, index, corpus, monkeypatch, whole):
+    monkeypatch.setattr(plan, "readable", lambda path: False)
+    base, objects, listed = corpus
+    gone = spark.createDataFrame([("0103000000ff", 3, "none.gz")], "object_key STRING, object_index BIGINT, path STRING")
+    done = populate(index, listed.unionByName(gone), base, whole=whole)
+    assert stored(index) == expected(objects) and done.rejected == 1
 
 
 def test_budget_that_ends_with_an_object_finishes_it(spark, index, corpus):

@@ -7,6 +7,12 @@ record is one row, and the line separator is the record terminator.
 
 from __future__ import annotations
 
+import gzip
+import os
+import uuid
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -158,6 +164,43 @@ def write_archives(rows: DataFrame, path: str) -> None:
     )
 
 
+def _write_members(folder: str):
+    """Rows (object_index, value) in record order -> one file per object, each record a gzip member."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stream, name = None, None
+
+        def close() -> str:
+            stream.close()
+            os.replace(f"{folder}/.{name}.{token}", f"{folder}/{name}")  # a repeated task gives the same file
+            return name
+
+        token, done = uuid.uuid4().hex, []
+        os.makedirs(folder, exist_ok=True)
+        for batch in batches:
+            for index, value in zip(batch.column("object_index").to_pylist(), batch.column("value")):
+                if name != f"{index:06d}.gz":
+                    if stream is not None:
+                        done.append(close())
+                    name = f"{index:06d}.gz"
+                    stream = open(f"{folder}/.{name}.{token}", "wb")
+                stream.write(gzip.compress(value.as_py().encode() + b"\r\n\r\n", mtime=0))
+        if stream is not None:
+            done.append(close())
+        yield pa.RecordBatch.from_arrays([pa.array(done, pa.string())], ["name"])
+
+    return run
+
+
+def write_member_archives(rows: DataFrame, path: str) -> list[str]:
+    """One archive per object as they are published, a member per record, below a folder that the
+    executors share -> the files' names."""
+    dealt = rows.repartition("object_index").sortWithinPartitions("object_index", "record_idx")
+    folder = path.removeprefix("file://").removeprefix("file:")
+    written = dealt.select("object_index", "value").mapInArrow(_write_members(folder), "name STRING")
+    return sorted(row.name for row in written.collect())
+
+
 def with_keys(df: DataFrame, code: int) -> DataFrame:
     """Object key and index of rows that carry the path of a written archive: no join needed."""
     index = F.regexp_extract("path", "object_index=([0-9]+)", 1).cast("bigint")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from webcorpus.operators.mappings import doc_json
@@ -200,6 +200,61 @@ def bulk_response_rows(replies: DataFrame, column: str = "reply") -> DataFrame:
     )
 
 
+# Replies after which the same document may be sent again.
+RETRIED = (429, 502, 503, 504)
+
+
+def reply_outcomes(batches: DataFrame, replies: DataFrame, column: str = "reply") -> DataFrame:
+    """What the replies say about every record that was sent.
+
+    ``batches`` (object_key, record_idx, batch_no, and what else a row carries) are the bodies,
+    ``replies`` (object_key, batch_no, reply) the answers; the n-th item answers the n-th record of
+    the body. Adds ``outcome`` (created, already_exists or failed), ``error`` and ``retry``. A record
+    without an item, as its reply is missing, short or no JSON, has failed and is to be sent again,
+    and so has one that failed under a status of RETRIED.
+    """
+    keys = ["object_key", "batch_no"]
+    # A body holds at most BULK_CAP bytes of records.
+    sent = batches.withColumn("item", F.row_number().over(Window.partitionBy(*keys).orderBy("record_idx")) - 1)
+    parsed = replies.select(*keys, F.from_json(column, REPLY_SCHEMA).alias("r"))
+    items = parsed.select(*keys, F.col("r.errors").alias("errors"), F.posexplode("r.items").alias("item", "answer")).select(
+        *keys, "item", "errors", F.col("answer.create.status").alias("status"), F.col("answer.create.error").alias("cause")
+    )
+    kind = F.get_json_object("cause", "$.type")
+    fine = ~F.col("errors") | F.col("cause").isNull()
+    outcome = (
+        F.when(F.col("errors").isNull(), "failed").when(fine, "created")
+        .when((F.col("status") == 409) & (kind == "version_conflict_engine_exception"), "already_exists").otherwise("failed")
+    )
+    again = F.col("errors").isNull() | F.col("status").isin(*RETRIED)
+    return (
+        sent.join(items, [*keys, "item"], "left").withColumn("outcome", outcome)
+        .withColumn("error", F.when(F.col("outcome") == "failed", F.coalesce(kind, F.lit("no_reply"))))
+        .withColumn("retry", (F.col("outcome") == "failed") & again)
+        .drop("item", "errors", "status", "cause")
+    )
+
+
+def reply_progress(rows: DataFrame, rejected: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Outcomes of ``reply_outcomes`` -> progress per object, and the records to send again.
+
+    Progress counts records up to the object's first one that is to be sent again, so that going on
+    from there loses none; later ones that were created already come back as existing. ``rejected``
+    (object_key, record_idx) are records that no body held.
+    """
+    if rejected is not None:
+        refused = rejected.select("object_key", "record_idx", F.lit("rejected").alias("outcome"), F.lit(False).alias("retry"))
+        rows = rows.unionByName(refused, allowMissingColumns=True)
+    again = rows.groupBy("object_key").agg(F.min(F.when(F.col("retry"), F.col("record_idx"))).alias("_again"))
+    counted = rows.join(again, "object_key")
+    used = F.col("_again").isNull() | (F.col("record_idx") < F.col("_again"))
+    progress = counted.groupBy("object_key").agg(
+        F.coalesce(F.max(F.when(used, F.col("record_idx"))), F.lit(0).cast("bigint")).alias("next_record_idx"), F.bool_and(used).alias("done"),
+        *[F.count_if(used & (F.col("outcome") == c)).alias(c) for c in ("created", "already_exists", "failed", "rejected")],
+    )
+    return progress, rows.filter("retry")
+
+
 def tally_outcomes(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Counts of created, already existing and failed documents per key."""
     return rows.groupBy(*keys).agg(

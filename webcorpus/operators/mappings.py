@@ -44,7 +44,7 @@ INFO_REQUIRED = [
 KEYWORD_LIMIT = 256
 
 # Columns a mapping carries along when the input has them.
-KEYS = ["object_key", "object_index", "record_idx"]
+KEYS = ["object_key", "object_index", "record_idx", "resume_offset", "resume_idx"]
 
 
 def _field(name: str, kind: str, of: DataType | None = None) -> StructField:

@@ -15,6 +15,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jpath)
 
 
+def length(spark: SparkSession, path: str) -> int:
+    """Bytes of a file; 0 where there is none."""
+    fs, jpath = _fs(spark, path)
+    return fs.getFileStatus(jpath).getLen() if fs.exists(jpath) else 0
+
+
 def children(spark: SparkSession, path: str) -> list[str]:
     fs, jpath = _fs(spark, path)
     return sorted(s.getPath().getName() for s in fs.listStatus(jpath)) if fs.exists(jpath) else []

@@ -7,7 +7,11 @@ one and never read.
     <root>/catalogue/version=<v>/                       catalogue snapshots
     <root>/indices/<folder>/docs/run_id=<r>/data=<d>/   documents (staged or kept) with rejects
     <root>/indices/<folder>/outcomes/run_id=<r>/        id, position and outcome of every record
+    <root>/indices/<folder>/ids/run_id=<r>/             ids created by the run, in buckets
     <root>/indices/<folder>/progress/run_id=<r>/        what the run added per object
+    <root>/indices/<folder>/snapshots/upto=<r>/         state per object and list of runs up to a run
+
+A snapshot replaces the progress folders before it, so what a call lists doesn't grow with the runs.
 """
 
 from __future__ import annotations
@@ -21,6 +25,7 @@ from webcorpus.operators import catalogue as ops
 from webcorpus.operators import progress as progress_ops
 from webcorpus.operators.mappings import Mapping, check_admissible, mapping
 from webcorpus.plans import files
+from webcorpus.plans.buckets import IdTable
 
 # Index codec -> Parquet compression.
 CODECS = {"default": "lz4", "best_compression": "zstd"}
@@ -29,7 +34,14 @@ OUTCOMES = """
     object_key STRING, record_idx BIGINT, doc_id STRING, pos BIGINT, outcome STRING, parse_error STRING,
     run_id BIGINT
 """
-RUN_PROGRESS = progress_ops.SCHEMA + ", data STRING, cut BIGINT"
+
+# An object's state also says why its last reading ended early, and where the next one can start: at
+# the byte that opens a gzip member whose first record has that number.
+STATE = progress_ops.SCHEMA + ", error STRING, resume_offset BIGINT, resume_idx BIGINT"
+RUN_PROGRESS = STATE + ", data STRING, cut BIGINT"
+RUNS = "run_id BIGINT, data STRING, cut BIGINT, lost BIGINT"
+
+SNAPSHOT = 8  # runs between two snapshots
 
 
 class Index:
@@ -41,31 +53,81 @@ class Index:
         self.mapping = user_mapping or mapping(info["mapping"])
         self.compression = CODECS.get(info["codec"], info["codec"])
 
+    def _numbers(self, kind: str, name: str, last: int = 0, done: str = "_SUCCESS") -> list[int]:
+        """The complete folders ``<name>=<number>`` beyond a number, in order."""
+        found = files.children(self.spark, f"{self.path}/{kind}")
+        numbers = sorted(int(n.removeprefix(f"{name}=")) for n in found if n.startswith(f"{name}="))
+        return [n for n in numbers if n > last and files.exists(self.spark, f"{self.path}/{kind}/{name}={n}/{done}")]
+
+    def _snapshot(self) -> int:
+        """The run that the last whole snapshot includes; 0 without one."""
+        return (self._numbers("snapshots", "upto", done="runs/_SUCCESS") or [0])[-1]
+
+    def last_run(self) -> int:
+        upto = self._snapshot()
+        return (self._numbers("progress", "run_id", upto) or [upto])[-1]
+
     def committed(self) -> list[int]:
-        runs = files.children(self.spark, f"{self.path}/progress")
-        return sorted(
-            int(name.removeprefix("run_id="))
-            for name in runs
-            if name.startswith("run_id=") and files.exists(self.spark, f"{self.path}/progress/{name}/_SUCCESS")
-        )
+        return sorted(r.run_id for r in self.run_list())
 
-    def runs(self) -> DataFrame:
-        """The progress rows of every committed run."""
-        paths = [f"{self.path}/progress/run_id={r}" for r in self.committed()]
+    def _read(self, schema: str, paths: list[str]) -> DataFrame:
         if not paths:
-            return self.spark.createDataFrame([], RUN_PROGRESS)
-        return self.spark.read.schema(RUN_PROGRESS).parquet(*paths)
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*paths)
+
+    def runs(self, upto: int | None = None) -> DataFrame:
+        """The progress rows of the committed runs since the snapshot."""
+        upto = self._snapshot() if upto is None else upto
+        later = self._numbers("progress", "run_id", upto)
+        return self._read(RUN_PROGRESS, [f"{self.path}/progress/run_id={r}" for r in later])
+
+    def states(self) -> DataFrame:
+        """Current state per object: counts add up, the last run says how reading ended."""
+        upto = self._snapshot()
+        held = self._read(STATE, [f"{self.path}/snapshots/upto={upto}/objects"] if upto else [])
+        rows = held.unionByName(self.runs(upto).drop("data", "cut")).filter("object_key IS NOT NULL")
+        latest = F.max_by(F.struct("error", "resume_offset", "resume_idx"), "run_id").alias("latest")
+        return (
+            rows.groupBy("object_key").agg(
+                F.max("next_record_idx").alias("next_record_idx"), F.bool_or("done").alias("done"),
+                *[F.sum(c).alias(c) for c in progress_ops.COUNTS], F.max("run_id").alias("run_id"), latest,
+            )
+            .select(F.lit(self.uuid).alias("index_uuid"), "*", "latest.*").drop("latest")
+        )
 
     def progress(self) -> DataFrame:
-        """Current state per object."""
+        """Current counts per object."""
         empty = self.spark.createDataFrame([], progress_ops.SCHEMA)
-        mine = self.runs().drop("data", "cut").withColumn("index_uuid", F.lit(self.uuid))
-        return progress_ops.commit_progress(empty, mine.filter("object_key IS NOT NULL"))
+        return progress_ops.commit_progress(empty, self.states().select(*empty.columns))
 
     def run_list(self) -> list:
         """One row per committed run: its data folder, cut position and documents to leave out."""
+        upto = self._snapshot()
+        held = self._read(RUNS, [f"{self.path}/snapshots/upto={upto}/runs"] if upto else [])
         lost = F.sum(F.when(F.col("data") == "staged", F.col("already_exists")).otherwise(0))
-        return self.runs().groupBy("run_id", "data", "cut").agg(lost.alias("lost")).collect()
+        return held.unionByName(self.runs(upto).groupBy("run_id", "data", "cut").agg(lost.alias("lost"))).collect()
+
+    def take_snapshot(self) -> None:
+        """Put the state up to the last run in one place, if enough runs were made since the last time."""
+        last = self.last_run()
+        if last - self._snapshot() < SNAPSHOT:
+            return
+        rows = [(r.run_id, r.data, r.cut, r.lost) for r in self.run_list()]
+        path = f"{self.path}/snapshots/upto={last}"
+        self.states().write.mode("overwrite").parquet(f"{path}/objects")
+        # Written last: from here on the snapshot counts.
+        self.spark.createDataFrame(rows, RUNS).coalesce(1).write.mode("overwrite").parquet(f"{path}/runs")
+
+    def clean(self) -> None:
+        """Drop the folders that the last but one snapshot replaces; what a table in use may still
+        read of the last one's stays. Not while a call goes on."""
+        whole = self._numbers("snapshots", "upto", done="runs/_SUCCESS")
+        if len(whole) < 2:
+            return
+        for kind, name, upto in (("progress", "run_id", whole[-2]), ("snapshots", "upto", whole[-2] - 1)):
+            for child in files.children(self.spark, f"{self.path}/{kind}"):
+                if child.startswith(f"{name}=") and int(child.removeprefix(f"{name}=")) <= upto:
+                    files.remove(self.spark, f"{self.path}/{kind}/{child}")
 
     def outcomes(self, runs: list | None = None) -> DataFrame:
         """What became of every record of the runs, up to each run's cut."""
@@ -80,8 +142,13 @@ class Index:
         cut = F.try_element_at(F.create_map(*cuts), F.col("run_id"))
         return rows.filter(cut.isNull() | (F.col("pos") <= cut))
 
-    def ids(self) -> DataFrame:
-        return self.outcomes().filter("outcome = 'created'").select("doc_id", "pos")
+    def id_table(self) -> IdTable:
+        return IdTable(self.spark, f"{self.path}/ids", self.info["number_of_shards"])
+
+    def ids(self, runs: list | None = None) -> DataFrame:
+        """The ids the index holds, dealt by id into its buckets."""
+        runs = self.run_list() if runs is None else runs
+        return self.id_table().read([r.run_id for r in runs]).select("doc_id", "pos")
 
     def _data(self, runs: list) -> DataFrame:
         """All rows of the committed data folders, rejects included."""
@@ -96,7 +163,7 @@ class Index:
 
     def documents(self) -> DataFrame:
         runs = self.run_list()
-        docs = self._data(runs).filter("reject_reason IS NULL").drop("reject_reason", "data")
+        docs = self._data(runs).filter("reject_reason IS NULL").drop("reject_reason", "data", "resume_offset", "resume_idx")
         lossy = [r for r in runs if r.lost]
         if not lossy:
             return docs
@@ -105,10 +172,14 @@ class Index:
         return docs.join(F.broadcast(lost), ["run_id", "pos"], "left_anti")
 
     def rejects(self) -> DataFrame:
-        """Rejected records, kept for every run. (Runs cut by a budget drop what lies beyond.)"""
-        return self._data(self.run_list()).filter("reject_reason IS NOT NULL").select(
-            "object_key", "object_index", "record_idx", "reject_reason", "run_id"
+        """Rejected records, each once. (Runs cut by a budget drop what lies beyond.) Where an object
+        can't be read on is said by the last run that tried."""
+        rows = self._data(self.run_list()).filter("reject_reason IS NOT NULL").select(
+            "object_key", "object_index", "record_idx", "reject_reason", F.col("run_id").cast("bigint").alias("run_id")
         )
+        stuck = F.col("reject_reason").startswith("parse: ")
+        failed = self.states().filter("error IS NOT NULL").select("object_key", "run_id")
+        return rows.filter(~stuck).unionByName(rows.filter(stuck).join(failed, ["object_key", "run_id"], "left_semi"))
 
     def refresh(self) -> None:
         """Make appended files visible to tables and caches over this index only."""
@@ -215,4 +286,5 @@ class Store:
         catalogue, _, errors = ops.delete(self.catalogue(), none, target)
         self._check(errors)
         self._save(catalogue)
+        index.id_table().drop()
         return files.remove(self.spark, index.path) if drop_data else files.exists(self.spark, index.path)

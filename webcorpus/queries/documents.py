@@ -16,6 +16,8 @@ from webcorpus.plans.populate import populate
 from webcorpus.plans.store import Index, Store
 from webcorpus.queries import sql
 from webcorpus.session import scratch_path
+from webcorpus.sources import bodies
+from webcorpus.streaming.late import MET, populate_listed_stream
 from webcorpus.streaming.stream import populate_stream
 
 CAP = 64 * 1024
@@ -196,13 +198,12 @@ SELECT object_key, record_idx, batch_no FROM packed
 
 
 def bulk_bodies(spark: SparkSession, sf: str) -> DataFrame:
-    """The bodies as files, read back"""
+    """The bodies in few files, read back by their index"""
     path = scratch_path(spark, "bodies")
-    bulk.write_bodies(bulk.render_bulk(_bulk_docs(spark, sf), "corpus"), path, CAP, 16)
-    lines = spark.read.schema("value STRING, object_key STRING, batch_no BIGINT").text(path)
-    size = F.octet_length("value") + 1
-    return lines.groupBy("object_key", "batch_no").agg(
-        F.count_if(F.col("value").startswith('{"create":')).alias("documents"), F.sum(size).alias("n_bytes")
+    bodies.store_bodies(bulk.render_bulk(_bulk_docs(spark, sf), "corpus"), path, CAP, 16)
+    body = F.col("body").cast("string")
+    return bodies.read_bodies(spark, path).groupBy("object_key", "batch_no").agg(
+        F.sum(F.size(F.split(body, '\\{"create":')) - 1).cast("bigint").alias("documents"), F.sum(F.octet_length("body")).cast("bigint").alias("n_bytes")
     )
 
 
@@ -213,6 +214,71 @@ BULK_BODIES = PACK_BATCHES.replace(
 )
 
 
+SMALL_CAP = 4096
+
+
+def bulk_oversize(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents that no body can hold come back, the others are in the bodies"""
+    path = scratch_path(spark, "bodies")
+    rejects = bodies.store_bodies(bulk.render_bulk(_bulk_docs(spark, sf), "corpus"), path, SMALL_CAP, 16)
+    lines = bodies.read_bodies(spark, path).select("object_key", F.explode(F.split(F.col("body").cast("string"), "\n")).alias("line"))
+    held = lines.filter(F.col("line").startswith('{"create":')).groupBy("object_key").agg(F.count("*").alias("held"))
+    refused = rejects.groupBy("object_key").agg(F.count("*").alias("refused"), F.max("n_bytes").alias("largest"))
+    return held.join(refused, "object_key", "full").select(
+        "object_key", F.coalesce("held", F.lit(0)).cast("bigint").alias("held"), F.coalesce("refused", F.lit(0)).cast("bigint").alias("refused"), "largest"
+    )
+
+
+BULK_OVERSIZE = f"""
+WITH {sql.DOCUMENTS}, {_PAYLOAD}, sized AS (SELECT object_key, strlen(payload) AS n FROM payload)
+SELECT object_key, count(*) FILTER (n <= {SMALL_CAP}) AS held, count(*) FILTER (n > {SMALL_CAP}) AS refused,
+    max(n) FILTER (n > {SMALL_CAP}) AS largest
+FROM sized GROUP BY object_key
+"""
+
+
+def progress_from_replies(spark: SparkSession, sf: str) -> DataFrame:
+    """Replies to the bodies, item by item, and what they leave to be sent again"""
+    rendered = bulk.render_bulk(_bulk_docs(spark, sf), "corpus")
+    packed = bulk.pack_batches(rendered, CAP, 16)
+    numbers = _docs(spark, sf).select("object_key", "record_idx", "number")
+    sent = packed.join(numbers, ["object_key", "record_idx"])
+    n = F.col("number")
+    error = (
+        F.when(n % 7 == 1, '{"type":"version_conflict_engine_exception"}').when(n % 31 == 2, '{"type":"mapper_parsing_exception"}')
+        .when(n % 97 == 3, '{"type":"es_rejected_execution_exception"}')
+    )
+    status = F.when(n % 7 == 1, 409).when(n % 31 == 2, 400).when(n % 97 == 3, 429).otherwise(201)
+    item = F.concat(F.lit('{"create":{"status":'), status.cast("string"), F.coalesce(F.concat(F.lit(',"error":'), error), F.lit("")), F.lit("}}"))
+    # A body is bounded by its bytes. The third body of every object gets no reply.
+    answers = sent.groupBy("object_key", "batch_no").agg(F.array_sort(F.collect_list(F.struct("record_idx", item.alias("item")))).alias("items"))
+    reply = F.concat(F.lit('{"errors":true,"items":['), F.array_join(F.transform("items", lambda x: x["item"]), ","), F.lit("]}"))
+    replies = answers.filter("batch_no <> 2").select("object_key", "batch_no", reply.alias("reply"))
+    rejected = rendered.filter(F.col("n_bytes") > CAP).select("object_key", "record_idx")
+    progress, again = bulk.reply_progress(bulk.reply_outcomes(packed, replies), rejected)
+    return progress.join(again.groupBy("object_key").agg(F.count("*").alias("again")), "object_key", "left").withColumn(
+        "again", F.coalesce("again", F.lit(0).cast("bigint"))
+    )
+
+
+PROGRESS_FROM_REPLIES = PACK_BATCHES.replace("SELECT object_key, record_idx, batch_no FROM packed", f"""
+, answered AS (
+    SELECT s.object_key, s.record_idx,
+        CASE WHEN s.n > {CAP} THEN 'rejected' WHEN batch_no = 2 THEN 'again' WHEN d % 7 = 1 THEN 'already_exists'
+            WHEN d % 31 = 2 THEN 'failed' WHEN d % 97 = 3 THEN 'again' ELSE 'created' END AS outcome
+    FROM (SELECT object_key, record_idx, d, strlen(payload) AS n FROM payload JOIN wet USING (object_key, record_idx)) s
+    LEFT JOIN packed p USING (object_key, record_idx)
+), stopped AS (
+    SELECT *, coalesce(record_idx < min(record_idx) FILTER (outcome = 'again') OVER (PARTITION BY object_key), true) AS used FROM answered
+)
+SELECT object_key, coalesce(max(record_idx) FILTER (used), 0) AS next_record_idx, bool_and(used) AS done,
+    count(*) FILTER (used AND outcome = 'created') AS created, count(*) FILTER (used AND outcome = 'already_exists') AS already_exists,
+    count(*) FILTER (used AND outcome = 'failed') AS failed, count(*) FILTER (used AND outcome = 'rejected') AS rejected,
+    count(*) FILTER (outcome = 'again') AS again
+FROM stopped GROUP BY object_key
+""")
+
+
 def _replies(spark: SparkSession, sf: str) -> DataFrame:
     """Events as items of bulk replies, 20 to a reply; every fifth reply reports no errors."""
     kind = F.col("event_type")
@@ -337,6 +403,79 @@ SELECT {_STORED.format(run="CASE WHEN place <= 250 THEN 1::BIGINT ELSE 2 END", d
 """
 
 
+def _broken_archives(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
+    """Of four archives one is whole, one isn't there, one has a record without a length in third place,
+    and one ends inside its last record."""
+    rows = fixtures.wet_rows(table(spark, sf, "documents"))
+    last = rows.groupBy("object_index").agg(F.max("record_idx").alias("last"))
+    kind = F.col("object_index") % 4
+    no_length = F.regexp_replace("value", "\r\nContent-Length: [0-9]+\r\n", "\r\n")
+    cut = F.regexp_replace("value", "\r\nContent-Length: ([0-9]+)\r\n", "\r\nContent-Length: 1$1\r\n")
+    value = F.when((kind == 2) & (F.col("record_idx") == 3), no_length).when((kind == 3) & (F.col("record_idx") == F.col("last")), cut).otherwise(F.col("value"))
+    path = scratch_path(spark, "broken")
+    fixtures.write_archives(rows.join(last, "object_index").filter(kind != 1).select("object_index", "record_idx", value.alias("value")), path)
+    there = fixtures.list_written(spark, path, fixtures.WET_CODE)
+    gone = last.filter(kind == 1).select(
+        object_key(F.lit(fixtures.WET_CODE), F.col("object_index")).alias("object_key"), "object_index",
+        F.concat(F.lit(path), F.lit("/object_index="), F.col("object_index").cast("string"), F.lit("/part.txt.gz")).alias("path"),
+    )
+    return path, there.unionByName(gone)
+
+
+def populate_failures(spark: SparkSession, sf: str) -> DataFrame:
+    """A5, E5: damaged and missing objects hold up no other; three calls give each reject once"""
+    index = _fresh_index(spark, "failures")
+    _, objects = _broken_archives(spark, sf)
+    populate(index, objects, window=3)
+    populate(index, objects)
+    populate(index, objects, retry_failed=True)
+    rejects = index.rejects().groupBy("object_key").agg(F.count("*").alias("rejects"), F.max("reject_reason").alias("reason"))
+    counts = index.documents().groupBy("object_key").agg(F.count("*").alias("documents"))
+    return (
+        index.states().join(rejects, "object_key", "left").join(counts, "object_key", "left")
+        .select(
+            "object_key", "next_record_idx", "done", "created", "already_exists", "rejected", "error", "reason",
+            F.coalesce("rejects", F.lit(0)).cast("bigint").alias("rejects"), F.coalesce("documents", F.lit(0)).cast("bigint").alias("documents"),
+        )
+    )
+
+
+POPULATE_FAILURES = f"""
+WITH {sql.DOCUMENTS}, placed AS (
+    SELECT *, object_index % 4 AS kind, max(record_idx) OVER (PARTITION BY object_index) AS last FROM wet
+), readable AS (
+    SELECT *, kind = 0 OR (kind = 2 AND record_idx < 3) OR (kind = 3 AND record_idx < last) AS good FROM placed
+), counted AS (
+    SELECT *, good AND row_number() OVER (PARTITION BY record_id, good ORDER BY object_index, record_idx) = 1 AS created FROM readable
+), object AS (
+    SELECT object_key, kind, max(last) AS last, coalesce(max(record_idx) FILTER (good), 0) AS next_record_idx,
+        count(*) FILTER (created) AS created, count(*) FILTER (good AND NOT created) AS already_exists
+    FROM counted GROUP BY object_key, kind
+), told AS (
+    SELECT *, CASE kind WHEN 1 THEN 'parse: missing_object' WHEN 2 THEN CASE WHEN last >= 3 THEN 'parse: missing_content_length' END
+        WHEN 3 THEN 'parse: truncated' END AS error FROM object
+)
+SELECT object_key, next_record_idx, error IS NULL AS done, created, already_exists, CASE WHEN error IS NULL THEN 0 ELSE 1 END::BIGINT AS rejected,
+    error, error AS reason, CASE WHEN error IS NULL THEN 0 ELSE 1 END::BIGINT AS rejects, created AS documents
+FROM told
+"""
+
+
+def populate_repeated_index(spark: SparkSession, sf: str) -> DataFrame:
+    """Objects that share an index, on both sides of a window's border"""
+    index = _fresh_index(spark, "repeated")
+    objects = fixtures.list_written(spark, fixtures.archives(spark, sf, "wet"), fixtures.WET_CODE)
+    populate(index, objects.withColumn("object_index", F.floor(F.col("object_index") / 4).cast("bigint")), window=3)
+    return index.documents().select("doc_id", "object_key", "object_index", "record_idx")
+
+
+POPULATE_REPEATED_INDEX = f"""
+WITH {sql.DOCUMENTS}
+SELECT record_id AS doc_id, object_key, object_index // 4 AS object_index, record_idx
+FROM (SELECT *, row_number() OVER (PARTITION BY record_id ORDER BY object_index, record_idx) AS nth FROM wet) WHERE nth = 1
+"""
+
+
 def stream_populate(spark: SparkSession, sf: str) -> DataFrame:
     """K1, K2: the archives as a stream in two micro-batches, and once more from the start"""
     index = _fresh_index(spark, "stream")
@@ -352,6 +491,20 @@ POPULATE_STREAM = f"""
 WITH {sql.DOCUMENTS} SELECT DISTINCT record_id AS doc_id, strlen(text) AS content_length, md5(text) AS content_md5 FROM wet
 """
 
+def late_listing(spark: SparkSession, sf: str) -> DataFrame:
+    """K1: the files first, then their listing in two parts, as a stream of its own"""
+    index = _fresh_index(spark, "late")
+    source = fixtures.archives(spark, sf, "wet")
+    objects = fixtures.list_written(spark, source, fixtures.WET_CODE)
+    listed, offsets = scratch_path(spark, "listing"), scratch_path(spark, "offsets")
+    odd = F.col("object_index") % 2 == 1
+    for part in (objects.limit(0), objects.filter(odd), objects.filter(~odd)):
+        part.coalesce(1).write.mode("append").parquet(listed)
+        stream = spark.readStream.schema(MET).parquet(listed)
+        populate_listed_stream(index, source, stream, offsets).awaitTermination()
+    return _stored(index).select("doc_id", "content_length", "content_md5")
+
+
 QUERIES = {
     "object_state": (object_state, OBJECT_STATE),
     "pending_objects": (pending_objects, PENDING_OBJECTS),
@@ -362,9 +515,14 @@ QUERIES = {
     "render_bulk": (render_bulk, RENDER_BULK),
     "pack_batches": (pack_batches, PACK_BATCHES),
     "bulk_bodies": (bulk_bodies, BULK_BODIES),
+    "bulk_oversize": (bulk_oversize, BULK_OVERSIZE),
+    "progress_from_replies": (progress_from_replies, PROGRESS_FROM_REPLIES),
     "bulk_response_rows": (bulk_response_rows, BULK_RESPONSE_ROWS),
     "outcome_tally": (outcome_tally, OUTCOME_TALLY),
     "user_mapping": (user_mapping, USER_MAPPING),
     "populate_end_to_end": (populate_end_to_end, POPULATE_END_TO_END),
+    "populate_failures": (populate_failures, POPULATE_FAILURES),
+    "populate_repeated_index": (populate_repeated_index, POPULATE_REPEATED_INDEX),
     "populate_stream": (stream_populate, POPULATE_STREAM),
+    "populate_late_listing": (late_listing, POPULATE_STREAM),
 }

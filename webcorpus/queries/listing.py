@@ -10,7 +10,7 @@ from webcorpus.functions import keys
 from webcorpus.operators import ordering
 from webcorpus.queries import sql
 from webcorpus.session import scratch_path
-from webcorpus.sources import manifest
+from webcorpus.sources import manifest, served
 
 CRAWLS = [f"crawl={i}" for i in range(10)]
 
@@ -212,6 +212,40 @@ SELECT printf('0103%08x', event_id) AS object_key, event_id AS object_index, 'cr
 FROM events WHERE event_type IN ('signup', 'purchase')
 """
 
+def served_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """A4: listings cut at the commas between their entries by many tasks; wrong keys are error rows"""
+    base = scratch_path(spark, "served-keys")
+    e = F.col("event_id")
+    good = keys.object_key(F.lit(3), e)
+    key = (
+        F.when(e % 10 == 0, F.concat(F.lit("zz"), F.substring(good, 3, 10))).when(e % 10 == 1, F.concat(F.lit("0109"), F.substring(good, 5, 8)))
+        .when(e % 10 == 2, F.lit("ffff00000000")).when(e % 10 == 3, F.upper(good)).otherwise(good)
+    )
+    status = F.struct(F.struct(e.alias("content_length")).alias("Dirty"))
+    path = F.concat(F.lit('odd "path", [{'), F.repeat(F.lit("\\"), (e % 4).cast("int")), e.cast("string"))
+    rows = table(spark, sf, "events").select("event_id", key.alias("db_key"), path.alias("s3_key"), status.alias("status"))
+    arrays = (
+        rows.withColumn("part", F.floor(e / 1000)).groupBy("part")
+        .agg(F.to_json(F.collect_list(F.struct("db_key", "s3_key", "status"))).alias("value"))
+    )
+    arrays.write.partitionBy("part").text(base)
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.txt").load(base).select("path")
+    paths = [r.path for r in found.collect()]  # one per thousand entries
+    return served.read_served_entries(spark, paths, size=16_384).select(
+        "object_key", "object_index", "path", F.col("status.Dirty.content_length").alias("content_length"), "error"
+    )
+
+
+SERVED_KEYS = r"""
+WITH e AS (
+    SELECT event_id, event_id % 10 AS r, CASE event_id % 10 WHEN 0 THEN 'not_hex' WHEN 1 THEN 'unknown_collection' WHEN 2 THEN 'invalid_section' END AS error
+    FROM events
+)
+SELECT CASE WHEN error IS NULL THEN printf('0103%08x', event_id) END AS object_key, CASE WHEN error IS NULL THEN event_id END AS object_index,
+    'odd "path", [{' || repeat(chr(92), (event_id % 4)::INT) || event_id AS path, event_id AS content_length, error
+FROM e
+"""
+
 QUERIES = {
     "manifest_listing": (manifest_listing, MANIFEST_LISTING),
     "crawl_sizes": (crawl_sizes, CRAWL_SIZES),
@@ -222,4 +256,5 @@ QUERIES = {
     "running_sizes": (running_sizes, RUNNING_SIZES),
     "object_keys": (object_keys, OBJECT_KEYS),
     "served_manifest": (served_manifest, SERVED_MANIFEST),
+    "served_keys": (served_keys, SERVED_KEYS),
 }

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webcorpus import fixtures
+from webcorpus.fixtures import table
 from webcorpus.functions.headers import decode_content, missing_headers
 from webcorpus.functions.parsers import render_rfc3339
 from webcorpus.operators import mappings as maps
@@ -13,7 +14,7 @@ from webcorpus.operators.progress import object_progress
 from webcorpus.operators.selection import with_position
 from webcorpus.queries import sql
 from webcorpus.session import scratch_path
-from webcorpus.sources import archive
+from webcorpus.sources import archive, ranges
 
 
 def _scan(spark: SparkSession, sf: str, kind: str, **options) -> DataFrame:
@@ -287,6 +288,26 @@ SELECT object_key, record_idx, record_id, {sql.instant("d")} AS date, false AS s
 """
 
 
+def split_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Archives of one member per record, each read by many tasks, with the records' own numbers"""
+    path = scratch_path(spark, "members")
+    names = fixtures.write_member_archives(fixtures.warc_rows(table(spark, sf, "pages")), path)
+    records = ranges.read_split(spark, [f"{path}/{name}" for name in names], size=8192)
+    index = F.regexp_extract("path", "([0-9]+)[.]gz$", 1).cast("bigint")
+    return records.filter("record_idx > 0").select(
+        index.alias("object_index"), "record_idx", "content_bytes", "parse_error", F.md5("content").alias("content_md5"),
+        F.col("headers")["WARC-Type"].alias("warc_type"), F.col("info_headers")["WARC-Type"].alias("info_type"),
+    )
+
+
+SPLIT_SCAN = f"""
+WITH {sql.PAGES}
+SELECT object_index, record_idx, strlen(body) AS content_bytes, NULL::VARCHAR AS parse_error, md5(body) AS content_md5, warc_type,
+    'warcinfo' AS info_type
+FROM warc
+"""
+
+
 def object_states(spark: SparkSession, sf: str) -> DataFrame:
     """E5: progress per object when a run stops in the middle"""
     rows = with_position(_warc(spark, sf)).select(
@@ -319,5 +340,6 @@ QUERIES = {
     "rejects": (rejects, REJECTS),
     "field_fill": (field_fill, FIELD_FILL),
     "source_switch": (source_switch, SOURCE_SWITCH),
+    "split_scan": (split_scan, SPLIT_SCAN),
     "object_progress": (object_states, OBJECT_STATES),
 }

@@ -83,6 +83,11 @@ class Splitter:
         self.at_start = False  # nothing skipped yet since the last record
         self.failed = False
 
+    @property
+    def between(self) -> bool:
+        """Whether the bytes so far end with a record, so that a new splitter could go on."""
+        return self.seeking and not self.failed and not b"".join(self.pieces).strip(b"\r\n")
+
     def feed(self, piece: bytes) -> Iterator[tuple]:
         self.pieces.append(piece)
         self.have += len(piece)
@@ -166,10 +171,13 @@ def _maps(dicts) -> pa.MapArray:
 class _Rows:
     """Collects record rows into Arrow batches of bounded size."""
 
+    schema = _ARROW
+
     def __init__(self, with_content: bool):
         self.with_content = with_content
         self.rows: list[tuple] = []
         self.bytes = 0
+        self.more: tuple = ()  # values of the schema's further columns
 
     def file(self, path: str, framing: str) -> None:
         self.path, self.splitter, self.next_idx, self.info = path, Splitter(framing), 0, (None, None)
@@ -178,7 +186,7 @@ class _Rows:
         for headers, content, error in records:
             size = None if content is None else len(content)
             kept = content if self.with_content else None
-            self.rows.append((self.path, self.next_idx, headers, kept, size, error, *self.info))
+            self.rows.append((self.path, self.next_idx, headers, kept, size, error, *self.info, *self.more))
             if self.next_idx == 0 and error is None:
                 self.info = (headers, content)
             self.next_idx += 1
@@ -187,10 +195,10 @@ class _Rows:
                 yield self.flush()
 
     def flush(self) -> pa.RecordBatch:
-        columns = list(zip(*self.rows)) if self.rows else [()] * len(_ARROW)
-        arrays = [_maps(c) if f.type == _MAP else pa.array(c, f.type) for c, f in zip(columns, _ARROW)]
+        columns = list(zip(*self.rows)) if self.rows else [()] * len(self.schema)
+        arrays = [_maps(c) if f.type == _MAP else pa.array(c, f.type) for c, f in zip(columns, self.schema)]
         self.rows, self.bytes = [], 0
-        return pa.RecordBatch.from_arrays(arrays, schema=_ARROW)
+        return pa.RecordBatch.from_arrays(arrays, schema=self.schema)
 
 
 def _split_fragments(framing: str, with_content: bool):

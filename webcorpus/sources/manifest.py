@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from webcorpus.functions.keys import ALIASES, COLLECTIONS, object_key
+from webcorpus.functions.keys import ALIASES, COLLECTIONS, decode_object_key, object_key
 from webcorpus.operators.ordering import SHUFFLE_SEED, seeded_order
 
 # The crawls of 2024 in listing order.
@@ -103,20 +103,33 @@ SERVED_SCHEMA = """
 """
 
 
-def completed_objects(served: DataFrame) -> DataFrame:
-    """Entries that have finished downloading, as objects; key order is visit order. An entry whose key isn't 12 hex digits stops the read: its place in the order is unknown."""
-    lower = F.lower("db_key")
-    key = F.when(lower.rlike("^[0-9a-f]{12}$"), lower).otherwise(
-        F.raise_error(F.concat(F.lit("served manifest holds a malformed key: "), F.coalesce("db_key", F.lit("NULL"))))
-    )
-    return served.filter("status.Completed IS NOT NULL").select(
-        key.alias("object_key"),
-        F.conv(F.substring(key, 5, 8), 16, 10).cast("bigint").alias("object_index"),
-        F.col("s3_key").alias("path"),
-    )
+def checked_entries(served: DataFrame) -> DataFrame:
+    """Entries with their key in lower case, its place in the order, and why the key is none, if so."""
+    key = F.lower("db_key")
+    decoded = F.when(key.isNull(), F.struct(F.lit(None).cast("string").alias("collection"), F.lit(None).cast("int").alias("code"), F.lit(None).cast("bigint").alias("object_index"), F.lit("missing_key").alias("error"))).otherwise(decode_object_key(key))
+    return served.withColumn("_key", decoded).select(
+        "*", key.alias("object_key"), F.col("_key.object_index").alias("object_index"), F.col("_key.error").alias("error")
+    ).drop("_key")
+
+
+def rejected_entries(served: DataFrame) -> DataFrame:
+    """Entries whose key is none, with the reason: (db_key, path, error)."""
+    return checked_entries(served).filter("error IS NOT NULL").select("db_key", F.col("s3_key").alias("path"), "error")
+
+
+def completed_objects(served: DataFrame, strict: bool = True) -> DataFrame:
+    """Entries that have finished downloading, as objects; key order is visit order. An entry with a
+    malformed key has no place in the order: it stops the read, whatever columns are read, or is left
+    to ``rejected_entries`` where the read isn't strict."""
+    entries = checked_entries(served.filter("status.Completed IS NOT NULL"))
+    fine = F.col("error").isNull()
+    if strict:
+        told = F.concat(F.lit("served manifest holds a malformed key: "), F.coalesce("db_key", F.lit("NULL")))
+        fine = F.when(fine, True).otherwise(F.raise_error(told))
+    return entries.filter(fine).select("object_key", "object_index", F.col("s3_key").alias("path"))
 
 
-def read_served_manifest(spark: SparkSession, path: str) -> DataFrame:
+def read_served_manifest(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
     """JSON array files of ``(db_key, s3_key, status)`` -> completed objects. A file that is no
     whole JSON stops the read."""
-    return completed_objects(spark.read.schema(SERVED_SCHEMA).json(path, multiLine=True, mode="FAILFAST"))
+    return completed_objects(spark.read.schema(SERVED_SCHEMA).json(path, multiLine=True, mode="FAILFAST"), strict)

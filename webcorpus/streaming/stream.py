@@ -11,9 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from webcorpus.operators.selection import pending_objects, with_progress
 from webcorpus.plans.files import qualify
-from webcorpus.plans.populate import ingest, window_of
+from webcorpus.plans.populate import ingest, pending_states, window_of
 from webcorpus.plans.store import Index
 
 FILE_SCHEMA = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
@@ -54,14 +53,14 @@ def populate_stream(
     listed = objects.select("object_key", "object_index", full.alias("path"))
 
     def append(batch: DataFrame, _: int) -> None:
-        state = index.progress()
         known = batch.join(listed, "path")
         stray = batch.join(listed, "path", "left_anti").first()
         if stray is not None:
             raise ValueError(f"file is not in the listing: {stray.path}")
-        rows = with_progress(pending_objects(known, state), state).collect()  # at most max_files
+        rows = pending_states(index, known).collect()  # at most max_files
         if rows:
             ingest(index, window_of(index, rows), None, framing, whole)
+            index.clean()
 
     return (
         found.writeStream.foreachBatch(append)
