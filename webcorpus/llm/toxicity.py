@@ -82,6 +82,17 @@ def _vectors(terms: dict[str, int]):
     return run
 
 
+def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents with each term, counted per task: at most a row per term of the vocabulary."""
+    seen: Counter = Counter()
+    for batch in batches:
+        terms, n = np.unique(batch.column("terms").flatten().to_numpy(), return_counts=True)
+        seen.update(dict(zip(terms.tolist(), n.tolist())))
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(list(seen), pa.int32()), pa.array(list(seen.values()), pa.int64())], ["term", "n"]
+    )
+
+
 class Index:
     """Examples under a block-max inverted index; equal vectors are one example with summed votes."""
 
@@ -206,8 +217,8 @@ def score(documents: DataFrame, labels: DataFrame, learn: Column) -> DataFrame:
     vectors = written(texts.mapInArrow(_vectors(terms), "doc_id bigint, terms array<int>, counts array<int>"), "vectors")
     total = vectors.count()
     frequency = np.zeros(max(len(terms), 1))
-    for r in vectors.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count("*").alias("n")).collect():
-        frequency[r["t"]] = r["n"]
+    for r in vectors.select("terms").mapInArrow(_frequencies, "term int, n bigint").groupBy("term").agg(F.sum("n").alias("n")).collect():
+        frequency[r["term"]] = r["n"]
     idf = np.log((total + 1) / (frequency + 1)) + 1
     rows = [
         (r["doc_id"], r["terms"], r["counts"], r["toxic"])
