@@ -6,9 +6,10 @@ that is left. Paths of nodes with one way in, one way out and no end or start of
 weight and are compacted. All shorter counts follow from the graph: a node occurs as often as edges
 leave it and pieces end in it, and a shorter run as often as the runs that it opens, and the ends.
 
-A phrase that is frequent holds frequent words and word pairs only, so the text is first cut where
-it has others. Which are, is read from counts in a fixed number of hashed places, of bounded size:
-a place that is shared can only let more text through, so no count changes by it.
+A phrase that is frequent holds frequent words and shorter runs only, so a run ends before the first
+word or run, up to the nodes' length, that is not. Which are, is read from counts in a fixed number of hashed places, of bounded
+size: a place that is shared can only let more text through, so no count changes by it. A task hands
+its counts on as far as they matter, up to the threshold.
 """
 
 from __future__ import annotations
@@ -24,7 +25,8 @@ from pyspark.sql import functions as F
 
 from webcorpus.llm.common import ODD, WordHashes, mix, written
 
-PLACES = 22  # bits of a hashed place; raise it with the vocabulary
+PLACES = 26  # bits of a hashed place: 64 MB of counts in a task, 8 MB to each; raise it with the corpus
+CELL = 16  # bits of the places whose counts travel together
 WORDS = 200_000  # words taken at a time
 COUNTED = 300_000  # distinct runs that a task counts before it hands them on
 ROWS = 50_000  # rows of a batch that is handed on
@@ -37,12 +39,14 @@ _TABLE = bytes.maketrans(_ENDS, b"\n" * len(_ENDS))
 
 
 class _Part:
-    """Words of whole pieces: their hashes, and for each word the language and whether it ends a piece."""
+    """Words of whole pieces: their hashes in their language, the language's number, and whether the
+    word ends a piece."""
 
-    def __init__(self, found: list[bytes], sizes: list[int], codes: list[int], hashes: WordHashes):
+    def __init__(self, found: list[bytes], sizes: list[int], codes: list[int], hashes: WordHashes, names: list[str]):
         self.words = found
-        self.hash = np.fromiter(map(hashes.__getitem__, found), np.uint64, len(found))
         self.lang = np.repeat(np.array(codes, np.int64), sizes)
+        own = np.array([xxhash.xxh64_intdigest(name.encode()) for name in names], np.uint64)
+        self.hash = np.fromiter(map(hashes.__getitem__, found), np.uint64, len(found)) ^ own[self.lang]
         self.ends = np.zeros(len(found), bool)
         self.ends[np.cumsum(sizes) - 1] = True
 
@@ -64,25 +68,49 @@ def _parts(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[_Par
                     sizes.append(len(got))
                     langs.append(code)
                     if len(found) >= WORDS:
-                        yield _Part(found, sizes, langs, hashes)
+                        yield _Part(found, sizes, langs, hashes, names)
                         found, sizes, langs = [], [], []
     if found:
-        yield _Part(found, sizes, langs, hashes)
-
-
-def _of_language(names: list[str], lang: np.ndarray) -> np.ndarray:
-    own = np.array([xxhash.xxh64_intdigest(name.encode()) for name in names], np.uint64)
-    return own[lang]
-
-
-def _word_places(part: _Part, names: list[str], bits: int) -> np.ndarray:
-    return (mix(part.hash + _of_language(names, part.lang)) >> np.uint64(64 - bits)).astype(np.int64)
-
-
-def _pair_places(part: _Part, names: list[str], bits: int) -> np.ndarray:
-    """Places of each word with the next; the last pair is not one."""
-    pair = part.hash[:-1] * ODD + part.hash[1:] + _of_language(names, part.lang[:-1])
-    return (mix(pair) >> np.uint64(64 - bits)).astype(np.int64)
+        yield _Part(found, sizes, langs, hashes, names)
+
+
+def _gram_places(part: _Part, m: int, bits: int) -> np.ndarray:
+    """The place of the m words from each word on; the last m - 1 have none."""
+    n = max(len(part.hash) - m + 1, 0)
+    gram = part.hash[:n]
+    for j in range(1, m):
+        gram = gram * ODD + part.hash[j : j + n]
+    return (mix(gram) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+class _Checks:
+    """The sets of frequent places for runs of 1, 2, ... words, as bits."""
+
+    def __init__(self, broadcasts: list, bits: int):
+        self.sets, self.bits = [np.frombuffer(b.value, np.uint8) for b in broadcasts], bits
+
+    def passed(self, part: _Part) -> list[np.ndarray]:
+        """For each length that is checked: whether the run from each word on is inside a piece and it
+        and all that it holds are in frequent places."""
+        out: list[np.ndarray] = []
+        for m, known in enumerate(self.sets, 1):
+            # Only what can pass is looked up: far from all, for longer runs.
+            good = self.open(part, out)
+            places = _gram_places(part, m, self.bits)
+            at = np.flatnonzero(good[: len(places)])
+            there = places[at]
+            good[:] = False
+            good[at] = known[there >> 3] >> (there & 7).astype(np.uint8) & 1 == 1
+            out.append(good)
+        return out
+
+    @staticmethod
+    def open(part: _Part, passed: list[np.ndarray]) -> np.ndarray:
+        """Where a run of one word more can pass, after those of the lengths before it."""
+        if not passed:
+            return np.ones(len(part.hash), bool)
+        held = np.append(passed[-1][1:], False) & passed[-1]
+        return held & ~part.ends if len(passed) == 1 else held
 
 
 def _batches(columns: dict[str, list | np.ndarray], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
@@ -93,44 +121,61 @@ def _batches(columns: dict[str, list | np.ndarray], schema: pa.Schema) -> Iterat
         )
 
 
-_PLACED = pa.schema([("lang", pa.string()), ("place", pa.int64()), ("n", pa.int64())])
+_PLACED = pa.schema([("lang", pa.string()), ("total", pa.int64()), ("cell", pa.int32()), ("places", pa.binary()), ("counts", pa.binary())])
+PLACED = "lang string, total bigint, cell int, places binary, counts binary"
+
 
+def _width(least: int) -> tuple[int, type]:
+    """Counts beyond the threshold say no more than it; a threshold beyond two bytes is taken lower
+    here, which lets more through."""
+    return min(least, 0xFFFF), np.uint8 if least <= 0xFF else np.uint16
 
-def _count_words(bits: int):
-    """Counts by place, and of all words by language (with place -1)."""
+
+def _count_places(m: int, bits: int, least: int, broadcasts: list):
+    """How often runs of m words come, by place; with m = 1 also the number of words by language."""
+    enough, kind = _width(least)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names: list[str] = []
-        counts, totals = np.zeros(1 << bits, np.int64), Counter()
+        checks, counts, totals = _Checks(broadcasts, bits), np.zeros(1 << bits, kind), Counter()
         for part in _parts(batches, names):
-            places, n = np.unique(_word_places(part, names, bits), return_counts=True)
-            counts[places] += n
-            for code, n in zip(*np.unique(part.lang, return_counts=True)):
-                totals[names[code]] += int(n)
-        yield from _batches(
-            {"lang": list(totals), "place": [-1] * len(totals), "n": list(totals.values())}, _PLACED
-        )
-        places = np.flatnonzero(counts)
-        yield from _batches({"lang": [None] * len(places), "place": places, "n": counts[places]}, _PLACED)
+            open_ = checks.open(part, checks.passed(part))
+            places = _gram_places(part, m, bits)
+            places, n = np.unique(places[open_[: len(places)]], return_counts=True)
+            counts[places] = np.minimum(counts[places] + n, enough)
+            if m == 1:
+                for code, n in zip(*np.unique(part.lang, return_counts=True)):
+                    totals[names[code]] += int(n)
+        if totals:
+            yield pa.RecordBatch.from_pylist([{"lang": lang, "total": n} for lang, n in totals.items()], schema=_PLACED)
+        rows = []
+        for cell in range(max(1 << bits >> CELL, 1)):
+            own = counts[cell << CELL : cell + 1 << CELL]
+            places = np.flatnonzero(own)
+            if len(places):
+                rows.append({"cell": cell, "places": places.astype("<u2").tobytes(), "counts": own[places].tobytes()})
+            if len(rows) >= 64:
+                yield pa.RecordBatch.from_pylist(rows, schema=_PLACED)
+                rows = []
+        yield pa.RecordBatch.from_pylist(rows, schema=_PLACED)
 
     return run
 
 
-def _frequent(frequent, bits: int) -> np.ndarray:
-    return np.unpackbits(np.frombuffer(frequent.value, np.uint8), bitorder="little").astype(bool)[: 1 << bits]
-
+def _sum_places(bits: int, least: int):
+    """Counts of a cell from all tasks -> the bits of its frequent places."""
+    enough, kind = _width(least)
 
-def _count_pairs(bits: int, words):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names: list[str] = []
-        counts, known = np.zeros(1 << bits, np.int64), _frequent(words, bits)
-        for part in _parts(batches, names):
-            kept = known[_word_places(part, names, bits)]
-            joined = kept[:-1] & kept[1:] & ~part.ends[:-1]
-            places, n = np.unique(_pair_places(part, names, bits)[joined], return_counts=True)
-            counts[places] += n
-        places = np.flatnonzero(counts)
-        yield from _batches({"lang": [None] * len(places), "place": places, "n": counts[places]}, _PLACED)
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for cell, places, counts in zip(*(batch.column(c).to_pylist() for c in ("cell", "places", "counts"))):
+                held = sums.setdefault(cell, np.zeros(1 << min(CELL, bits), np.uint16))
+                at = np.frombuffer(places, "<u2")
+                held[at] = np.minimum(held[at].astype(np.uint32) + np.frombuffer(counts, kind), enough)
+        for cell, held in sums.items():
+            made = np.packbits(held >= enough, bitorder="little").tobytes()
+            yield pa.RecordBatch.from_arrays([pa.array([cell], pa.int32()), pa.array([made], pa.binary())], ["cell", "bits"])
 
     return run
 
@@ -138,39 +183,41 @@ def _count_pairs(bits: int, words):
 _RUNS = pa.schema([("lang", pa.string()), ("run", pa.binary()), ("words", pa.int64()), ("n", pa.int64())])
 
 
-def _count_runs(bits: int, longest: int, words, pairs):
-    """From each frequent word on the run of longest words, or what is left before the next cut."""
+def _count_runs(bits: int, longest: int, broadcasts: list):
+    """From each frequent word on the run of longest words, or of as many as pass the checks."""
 
-    def handed(counts: Counter) -> Iterator[pa.RecordBatch]:
-        keys = list(counts)
-        yield from _batches(
-            {
-                "lang": [lang for lang, _ in keys], "run": [run for _, run in keys],
-                "words": [run.count(b" ") + 1 for _, run in keys], "n": list(counts.values()),
-            },
-            _RUNS,
-        )
+    def handed(counts: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
+        for lang, own in counts.items():
+            runs = list(own)
+            words = [run.count(b" ") + 1 for run in runs]
+            yield from _batches({"lang": [lang] * len(runs), "run": runs, "words": words, "n": list(own.values())}, _RUNS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names: list[str] = []
-        counts: Counter = Counter()
-        known, together = _frequent(words, bits), _frequent(pairs, bits)
+        counts: dict[str, Counter] = {}
+        checks = _Checks(broadcasts, bits)
         for part in _parts(batches, names):
-            kept = known[_word_places(part, names, bits)]
-            joined = np.zeros(len(kept), bool)
-            joined[:-1] = kept[:-1] & kept[1:] & ~part.ends[:-1] & together[_pair_places(part, names, bits)]
-            at = np.flatnonzero(kept)
-            cuts = np.flatnonzero(~joined)
-            upto = np.minimum(at + longest - 1, cuts[np.searchsorted(cuts, at)])
+            passed = checks.passed(part)
+            size = sum(p.astype(np.int64) for p in passed)
+            # A longer run is a chain of the longest runs that are checked.
+            chain = passed[-1]
+            onward = chain & ~part.ends if len(passed) == 1 else chain
+            for _ in range(len(passed), longest):
+                chain = onward & np.append(chain[1:], False)
+                size += chain
             line = b" ".join(part.words)
             lengths = np.fromiter(map(len, part.words), np.int64, len(part.words))
             ends = np.cumsum(lengths + 1) - 1
             starts = ends - lengths
-            langs = [names[code] for code in part.lang[at].tolist()]
-            counts.update((lang, line[a:b]) for lang, a, b in zip(langs, starts[at].tolist(), ends[upto].tolist()))
-            if len(counts) > COUNTED:
+            for code in np.unique(part.lang).tolist():
+                own = counts.setdefault(names[code], Counter())
+                mine = part.lang == code
+                own.update([part.words[i] for i in np.flatnonzero(mine & (size == 1)).tolist()])
+                at = np.flatnonzero(mine & (size > 1))
+                own.update([line[a:b] for a, b in zip(starts[at].tolist(), ends[at + size[at] - 1].tolist())])
+            if sum(map(len, counts.values())) > COUNTED:
                 yield from handed(counts)
-                counts.clear()
+                counts = {}
         yield from handed(counts)
 
     return run
@@ -178,14 +225,12 @@ def _count_runs(bits: int, longest: int, words, pairs):
 
 def _frequent_places(counts: DataFrame, least: int, bits: int):
     """The places with at least ``least``, as a broadcast bit set of 2 ** bits bits."""
-    spark = counts.sparkSession
-    places = counts.filter("place >= 0").groupBy("place").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("place") % 64).cast("int"))
-    cells = places.groupBy(F.expr("place div 64").alias("cell")).agg(F.bit_or(bit).alias("bits")).collect()  # 2 ** (bits - 6) rows at most
-    out = np.zeros(max(1 << bits >> 6, 1), np.int64)
-    for cell, found in cells:
-        out[cell] = found
-    return spark.sparkContext.broadcast(out.astype("<i8").tobytes())
+    cells = counts.filter("cell IS NOT NULL").select("cell", "places", "counts").repartition("cell")
+    out = np.zeros(max(1 << bits >> 3, 1), np.uint8)
+    size = max(1 << min(CELL, bits) >> 3, 1)
+    for cell, made in cells.mapInArrow(_sum_places(bits, least), "cell int, bits binary").collect():  # 2 ** bits bits in all
+        out[cell * size : (cell + 1) * size] = np.frombuffer(made, np.uint8)
+    return counts.sparkSession.sparkContext.broadcast(out.tobytes())
 
 
 def _first(run: Column, n) -> Column:
@@ -250,12 +295,12 @@ def run_counts(documents: DataFrame, least: int, longest: int, bits: int = PLACE
     texts = documents.select(
         F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("binary").alias("text")
     )
-    placed = "lang string, place bigint, n bigint"
-    counted = written(texts.mapInArrow(_count_words(bits), placed), "word-places")
-    totals = written(counted.filter("place < 0").groupBy("lang").agg(F.sum("n").alias("total")), "language-totals")
-    words = _frequent_places(counted, least, bits)
-    pairs = _frequent_places(texts.mapInArrow(_count_pairs(bits, words), placed), least, bits)
-    runs = texts.mapInArrow(_count_runs(bits, longest, words, pairs), "lang string, run binary, words bigint, n bigint")
+    counted = written(texts.mapInArrow(_count_places(1, bits, least, []), PLACED), "word-places")
+    totals = written(counted.filter("lang IS NOT NULL").groupBy("lang").agg(F.sum("total").alias("total")), "language-totals")
+    frequent = [_frequent_places(counted, least, bits)]
+    for m in range(2, longest):
+        frequent.append(_frequent_places(texts.mapInArrow(_count_places(m, bits, least, list(frequent)), PLACED), least, bits))
+    runs = texts.mapInArrow(_count_runs(bits, longest, frequent), "lang string, run binary, words bigint, n bigint")
     graph = written(
         runs.groupBy("lang", F.col("run").cast("string").alias("run"), "words").agg(F.sum("n").alias("n")), "runs"
     )
