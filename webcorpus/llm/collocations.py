@@ -30,6 +30,7 @@ CELL = 16  # bits of the places whose counts travel together
 WORDS = 200_000  # words taken at a time
 COUNTED = 300_000  # distinct runs that a task counts before it hands them on
 ROWS = 50_000  # rows of a batch that is handed on
+CELLS = 4096  # parts of the runs, by hash, that travel and are added up together
 HEAVY = 2000  # parts with over one in this many of all words are joined by broadcast
 LANGUAGES = 1 << 16  # totals by language are broadcast up to this many
 
@@ -180,6 +181,7 @@ def _sum_places(bits: int, least: int):
     return run
 
 
+_BLOCKS = pa.schema([("cell", pa.int32()), ("lang", pa.string()), ("runs", pa.list_(pa.binary())), ("counts", pa.list_(pa.int64()))])
 _RUNS = pa.schema([("lang", pa.string()), ("run", pa.binary()), ("words", pa.int64()), ("n", pa.int64())])
 
 
@@ -187,10 +189,15 @@ def _count_runs(bits: int, longest: int, broadcasts: list):
     """From each frequent word on the run of longest words, or of as many as pass the checks."""
 
     def handed(counts: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
+        """The counts as a row for each cell and language."""
         for lang, own in counts.items():
-            runs = list(own)
-            words = [run.count(b" ") + 1 for run in runs]
-            yield from _batches({"lang": [lang] * len(runs), "run": runs, "words": words, "n": list(own.values())}, _RUNS)
+            cells: dict[int, list[bytes]] = {}
+            for found in own:
+                cells.setdefault(xxhash.xxh32_intdigest(found) % CELLS, []).append(found)
+            for low in range(0, CELLS, 256):
+                here = [cell for cell in range(low, low + 256) if cell in cells]
+                columns = [here, [lang] * len(here), [cells[c] for c in here], [[own[r] for r in cells[c]] for c in here]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, _BLOCKS)], schema=_BLOCKS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names: list[str] = []
@@ -223,6 +230,27 @@ def _count_runs(bits: int, longest: int, broadcasts: list):
     return run
 
 
+def _add_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks sorted by cell -> every run of the corpus once, with its count."""
+
+    def summed(counts: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
+        for lang, own in counts.items():
+            runs = list(own)
+            words = [run.count(b" ") + 1 for run in runs]
+            yield from _batches({"lang": [lang] * len(runs), "run": runs, "words": words, "n": list(own.values())}, _RUNS)
+
+    at, counts = None, {}
+    for batch in batches:
+        for cell, lang, runs, n in zip(*(batch.column(c).to_pylist() for c in ("cell", "lang", "runs", "counts"))):
+            if cell != at:
+                yield from summed(counts)
+                at, counts = cell, {}
+            own = counts.setdefault(lang, Counter())
+            for found, more in zip(runs, n):
+                own[found] += more
+    yield from summed(counts)
+
+
 def _frequent_places(counts: DataFrame, least: int, bits: int):
     """The places with at least ``least``, as a broadcast bit set of 2 ** bits bits."""
     cells = counts.filter("cell IS NOT NULL").select("cell", "places", "counts").repartition("cell")
@@ -300,10 +328,10 @@ def run_counts(documents: DataFrame, least: int, longest: int, bits: int = PLACE
     frequent = [_frequent_places(counted, least, bits)]
     for m in range(2, longest):
         frequent.append(_frequent_places(texts.mapInArrow(_count_places(m, bits, least, list(frequent)), PLACED), least, bits))
-    runs = texts.mapInArrow(_count_runs(bits, longest, frequent), "lang string, run binary, words bigint, n bigint")
-    graph = written(
-        runs.groupBy("lang", F.col("run").cast("string").alias("run"), "words").agg(F.sum("n").alias("n")), "runs"
-    )
+    blocks = texts.mapInArrow(_count_runs(bits, longest, frequent), "cell int, lang string, runs array<binary>, counts array<bigint>")
+    dealt = blocks.repartition("cell").sortWithinPartitions("cell")
+    runs = dealt.mapInArrow(_add_runs, "lang string, run binary, words bigint, n bigint")
+    graph = written(runs.select("lang", F.col("run").cast("string").alias("run"), "words", "n"), "runs")
     edges = graph.filter(F.col("words") == longest).select("lang", "run", "n")
     ends = {m: graph.filter(F.col("words") == m).select("lang", "run", "n") for m in range(1, longest)}
 
