@@ -419,7 +419,10 @@ def _broken_archives(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
         object_key(F.lit(fixtures.WET_CODE), F.col("object_index")).alias("object_key"), "object_index",
         F.concat(F.lit(path), F.lit("/object_index="), F.col("object_index").cast("string"), F.lit("/part.txt.gz")).alias("path"),
     )
-    return path, there.unionByName(gone)
+    # Written, so that the table isn't read again for every window.
+    listing = scratch_path(spark, "broken-listing")
+    there.unionByName(gone).write.parquet(listing)
+    return path, spark.read.parquet(listing)
 
 
 def populate_failures(spark: SparkSession, sf: str) -> DataFrame:
