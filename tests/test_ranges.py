@@ -123,3 +123,14 @@ def test_damage_keeps_an_object_in_one_piece(spark, tmp_path):
     assert split_objects(spark, [("x", path, len(broken))], size=1000) == [Range("x", path)]
     errors = [r.parse_error for r in read_split(spark, [path], size=1000).collect() if r.parse_error]
     assert errors == ["bad_gzip"]
+
+
+def test_small_ranges_share_tasks(spark, tmp_path):
+    """Thousands of small ranges are no thousands of tasks, and give the same records."""
+    payload = members(info(), *[wet(i, f"{i} ".encode() * 30) for i in range(300)])
+    path = write(tmp_path, "s.gz", payload)
+    most = 4 * spark.sparkContext.defaultParallelism
+    assert len(payload) // 100 > 2 * most
+    found = read_split(spark, [path], size=100)
+    assert found.rdd.getNumPartitions() <= most
+    assert sorted(r.record_idx for r in found.select("record_idx").collect()) == list(range(301))

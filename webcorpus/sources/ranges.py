@@ -13,7 +13,6 @@ import urllib.request
 import zlib
 from collections.abc import Iterator
 from dataclasses import asdict, dataclass
-from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -72,7 +71,7 @@ def open_at(path: str, offset: int):
             system, key = fs.FileSystem.from_uri("s3" + path[path.index(":") :])
             stream = system.open_input_file(key)
         else:
-            stream = open(unquote(path.removeprefix("file://").removeprefix("file:")) if path.startswith("file:") else path, "rb")
+            stream = open(path.removeprefix("file://").removeprefix("file:"), "rb")  # as listed: a percent sign is one
         stream.seek(offset)
         return stream
     except (FileNotFoundError, PermissionError, IsADirectoryError) as error:
@@ -309,43 +308,64 @@ def _survey_all(framing: str):
     return run
 
 
-def split_objects(spark: SparkSession, sizes: list[tuple[str, str, int]], framing: str = "standard", size: int = RANGE) -> list[Range]:
+def tasks_for(spark: SparkSession, ranges: int, length: int, size: int = RANGE) -> int:
+    """Tasks for so many ranges of files: one each, unless the ranges are far smaller than what a task takes."""
+    return max(1, min(ranges, max(4 * spark.sparkContext.defaultParallelism, -(-length // size))))
+
+
+def placed_ranges(spark: SparkSession, sizes: list[tuple[str, str, int]], framing: str = "standard", size: int = RANGE) -> DataFrame:
     """(label, path, bytes) of a window's objects -> their ranges of about ``size`` bytes, with the
-    numbers of their first records.
+    numbers of their first records: (label, path, start, stop, first_idx). Ranges stay on the executors.
 
     One pass inflates every range on its own to find its members and count its records. The ranges
     of an object must meet member by member; an object where they don't, because a record runs over
     a border, a member isn't one, or bytes are damaged, stays in one piece.
     """
-    asked = [
-        (label, path, start, min(start + size, length), 0)
-        for label, path, length in sizes for start in range(0, max(length, 1), size)
-    ]
-    alone = {label for label, _, length in sizes if length <= size}
-    several = [part for part in asked if part[0] not in alone]
-    found: dict[str, list] = {}
-    if several:
-        parts = spark.createDataFrame(several, "label STRING, path STRING, start BIGINT, stop BIGINT, first_idx BIGINT")
-        # One range per task: the rows are dealt by number.
-        dealt = parts.repartition(len(several), F.col("label"), F.col("start"))
-        surveyed = dealt.mapInArrow(_survey_all(framing), _SPLIT)
-        order = Window.partitionBy("label").orderBy("begin")
-        held = surveyed.filter("start IS NOT NULL").withColumn("before", F.lag("stop", 1, 0).over(order)).withColumn(
-            "first_idx", F.sum("records").over(order) - F.col("records")
-        )
-        for row in held.orderBy("label", "begin").collect():  # a row per range of a window
-            found.setdefault(row.label, []).append(row)
-    out = []
-    for label, path, length in sizes:
-        rows = found.get(label, [])
-        if rows and all(r.whole and r.start == r.before for r in rows) and rows[-1].stop == length:
-            out += [Range(label, path, r.start, r.stop, r.first_idx) for r in rows]
-        else:
-            out.append(Range(label, path))
-    return out
+    objects = spark.createDataFrame(sizes, "label STRING, path STRING, length BIGINT")
+    start = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("length") - 1, F.lit(size).cast("bigint")))
+    asked = objects.filter(F.col("length") > size).withColumn("start", start).select(
+        "label", "path", "start", F.least(F.col("start") + size, "length").alias("stop"), F.lit(0).cast("bigint").alias("first_idx")
+    )
+    long = [length for _, _, length in sizes if length > size]
+    tasks = tasks_for(spark, sum(-(-length // size) for length in long), sum(long))
+    surveyed = asked.repartition(tasks, "label", "start").mapInArrow(_survey_all(framing), _SPLIT)
+    order = Window.partitionBy("label").orderBy("begin")
+    held = surveyed.filter("start IS NOT NULL").withColumn("before", F.lag("stop", 1, 0).over(order)).withColumn(
+        "first_idx", F.sum("records").over(order) - F.col("records")
+    )
+    meet = F.coalesce(F.col("whole") & (F.col("start") == F.col("before")), F.lit(False))
+    all_of = Window.partitionBy("label")
+    held = held.withColumn("meet", F.bool_and(meet).over(all_of)).withColumn("end", F.max_by("stop", "begin").over(all_of))
+    cut = objects.join(held.filter("meet").drop("records", "whole", "before"), "label").filter("end = length")
+    cut = cut.select("label", "path", "start", "stop", "first_idx")
+    none = F.lit(None).cast("bigint")
+    alone = objects.join(cut.filter("start = 0").select("label"), "label", "left_anti").select(
+        "label", "path", F.lit(0).cast("bigint").alias("start"), none.alias("stop"), F.lit(0).cast("bigint").alias("first_idx")
+    )
+    return cut.unionByName(alone)
+
+
+def split_objects(spark: SparkSession, sizes: list[tuple[str, str, int]], framing: str = "standard", size: int = RANGE) -> list[Range]:
+    """The placed ranges as a list, in the order of the objects: a row per range on the driver."""
+    found: dict[str, list[Range]] = {}
+    for row in placed_ranges(spark, sizes, framing, size).orderBy("label", "start").collect():
+        found.setdefault(row.label, []).append(Range(**row.asDict()))
+    return [part for label, _, _ in sizes for part in found[label]]
+
+
+def _read_all(framing: str, with_content: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                yield from read_range(Range(**row), framing, with_content)
+
+    return run
 
 
 def read_split(spark: SparkSession, paths: list[str], framing: str = "standard", with_content: bool = True, size: int = RANGE) -> DataFrame:
-    """Record rows of a window of objects, each read by as many tasks as it has ranges."""
+    """Record rows of a window of objects, each read by as many tasks as it has ranges; ranges far smaller
+    than a task's share are dealt to tasks together."""
     sizes = [(path, path, files.length(spark, path)) for path in paths]
-    return read_ranges(spark, split_objects(spark, sizes, framing, size), framing, with_content)
+    parts = sum(max(1, -(-length // size)) for *_, length in sizes)
+    dealt = placed_ranges(spark, sizes, framing, size).repartition(tasks_for(spark, parts, sum(s[2] for s in sizes)), "label", "start")
+    return dealt.mapInArrow(_read_all(framing, with_content), RANGE_SCHEMA)
