@@ -154,3 +154,13 @@ def test_files_wait_for_their_listing(spark, tmp_path):
     assert step(files=[3], listed=[4]) == set()
     assert step(listed=[1, 3]) == {uuid(1), uuid(3)}
     assert step(files=[4], listed=[2]) == {uuid(i) for i in (1, 2, 3, 4)}
+
+
+def test_small_ranges_of_a_listing_share_tasks(spark, tmp_path):
+    rows = [entry(i, KEYS[0]) for i in range(200)]
+    (tmp_path / "m.json").write_text(json.dumps(rows))
+    most = 4 * spark.sparkContext.defaultParallelism
+    assert (tmp_path / "m.json").stat().st_size // 64 > 2 * most
+    found = served.read_served_entries(spark, [str(tmp_path / "m.json")], size=64)
+    assert found.rdd.getNumPartitions() <= most
+    assert [r.path for r in found.orderBy("offset").collect()] == [row["s3_key"] for row in rows]

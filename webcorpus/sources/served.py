@@ -9,6 +9,8 @@ each range its true start, and a second pass cuts every range on its own.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 
 from webcorpus.plans import files
 from webcorpus.sources.manifest import SERVED_SCHEMA, checked_entries
-from webcorpus.sources.ranges import open_at
+from webcorpus.sources.ranges import open_at, tasks_for
 
 RANGE = 32 << 20  # bytes of a listing that one task takes
 AHEAD = 1 << 16  # bytes read at a time to finish the last entry of a range
@@ -134,10 +136,12 @@ def read_served_entries(spark: SparkSession, paths: list[str], size: int = RANGE
 
     ``paths`` are files that a Python worker can open; there is one row of numbers per range on the driver.
     """
-    lengths = [(path, files.length(spark, path)) for path in paths]
+    with ThreadPoolExecutor(16) as pool:
+        lengths = list(zip(paths, pool.map(partial(files.length, spark), paths)))
     ranges = [(path, start, min(start + size, length)) for path, length in lengths for start in range(0, length, size)]
     schema = "path STRING, start BIGINT, stop BIGINT"
-    several = spark.createDataFrame(ranges, schema).repartition(max(len(ranges), 1), "path", "start")
+    tasks = tasks_for(spark, len(ranges), sum(length for _, length in lengths), RANGE)
+    several = spark.createDataFrame(ranges, schema).repartition(tasks, "path", "start")
     told = {(r.path, r.start): r for r in several.mapInArrow(_survey, "path STRING, start BIGINT, quotes BIGINT, outer BIGINT, inner BIGINT").collect()}
     placed, inside, depth, whole = [], False, 0, {}
     for path, start, stop in ranges:
@@ -148,8 +152,8 @@ def read_served_entries(spark: SparkSession, paths: list[str], size: int = RANGE
         depth += row.inner if inside else row.outer
         inside ^= row.quotes % 2 == 1
         whole[path] = not inside and depth == 0
-    tasks = spark.createDataFrame(placed, schema + ", inside BOOLEAN, depth BIGINT").repartition(max(len(placed), 1), "path", "start")
-    texts = tasks.mapInArrow(_cut, "file STRING, offset BIGINT, value STRING")
+    dealt = spark.createDataFrame(placed, schema + ", inside BOOLEAN, depth BIGINT").repartition(tasks, "path", "start")
+    texts = dealt.mapInArrow(_cut, "file STRING, offset BIGINT, value STRING")
     parsed = texts.select("file", "offset", "value", F.from_json("value", f"{SERVED_SCHEMA}, _corrupt STRING", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}).alias("entry"))
     rows = checked_entries(parsed.select("file", "offset", "entry.*"))
     cut = [path for path, ok in whole.items() if not ok]
