@@ -26,7 +26,7 @@ SEPARATOR = VERSION_LINE + b"\r\n"
 
 _BLANK_LINE = re.compile(rb"\n\r*\n")
 _LENGTH = re.compile(r"\+?[0-9]+")
-_BATCH_BYTES = 16 << 20
+_BATCH_BYTES = 4 << 20
 
 SPLIT_SCHEMA = """
     path STRING, record_idx BIGINT, headers MAP<STRING, STRING>, content BINARY,
