@@ -69,6 +69,22 @@ def test_large_nodes_and_clusters(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in found} == brute(rows, 3, 100, 85)
 
 
+def test_twins_in_large_nodes(spark, monkeypatch):
+    """Twins of a family that is too alike to be branched and too unlike to be linked meet, in
+    whatever blocks of their nodes they are."""
+    for name, value in (("NODE", 4), ("BLOCK", 2), ("PIVOTS", 1)):
+        monkeypatch.setattr(chosen_path, name, value)
+    draw = random.Random(11)
+    base, rows = [f"w{i}" for i in range(100)], []
+    for i in range(120):
+        text = list(base)
+        for at in draw.sample(range(95), 5):
+            text[at] = f"d{i}x{at}"
+        rows += [(i, " ".join(text), "", 0), (i + 120, " ".join([*text[:-1], f"t{i}"]), "", 0)]
+    found = chosen_path.near_duplicates(spark.createDataFrame(rows, SCHEMA), k=3, trees=3).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in found} == brute(rows, 3, 100, 85)
+
+
 def test_near_duplicates_odd_rows(spark):
     rows = [(1, "a b c d e", "", 0), (1, "f g h i j", "", 0), (2, "f g h i j", "", 0), (None, "a b c d e", "", 0), (3, None, "", 0), (3, None, "", 0)]
     found = chosen_path.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
