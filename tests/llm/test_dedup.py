@@ -213,6 +213,56 @@ def test_passages_behind_shorter_holders_of_their_seeds(spark):
     assert all(r.n_words == 50 and r.similarity == 1.0 for r in found)
 
 
+def test_edited_passages_behind_other_holders_of_their_seeds(spark, monkeypatch):
+    """Documents 50 and 90 share a passage that is edited every 15 words; each stretch between is quoted
+    alone by earlier and later documents, first and previous holders of the seeds."""
+    fresh = (f"w{i}" for i in range(1_000_000))
+    take = lambda n: [next(fresh) for _ in range(n)]
+    stretches = [take(14) for _ in range(5)]
+    whole = lambda: take(70) + [w for s in stretches for w in [*s, *take(1)]] + take(70)
+    rows = [(low + 5 * k + n, take(60) + s + take(60)) for low in (0, 60) for k in range(3) for n, s in enumerate(stretches)]
+    rows = [(i, " ".join(text)) for i, text in [*rows, (50, whole()), (90, whole())]]
+    for holders in (2048, 3):
+        monkeypatch.setattr(chaining, "HOLDERS", holders, raising=False)
+        found = chaining.shared_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+        assert [(r.doc_id, r.other) for r in found] == [(90, 50)]
+        assert found[0].n_words >= 70 and found[0].similarity > 0.9
+
+
+def test_holders_around_whose_seed_is_a_passage_are_close():
+    draw, tried = np.random.default_rng(8), 0
+    radius, need = chaining._bounds(50, 0.8)
+    for _ in range(400):
+        a = draw.integers(1, 1 << 60, int(draw.integers(50, 75)), dtype=np.uint64)
+        b = list(a)
+        for _ in range(int(draw.integers(0, 12))):
+            at = int(draw.integers(0, len(b)))
+            b[at : at + int(draw.integers(0, 2))] = draw.integers(1, 1 << 60, int(draw.integers(0, 3)), dtype=np.uint64).tolist()
+        sides = [np.concatenate((draw.integers(1, 1 << 60, 90, dtype=np.uint64), x, draw.integers(1, 1 << 60, 90, dtype=np.uint64))) for x in (a, np.array(b, np.uint64))]
+        for s, e, u, v, _ in chaining.passages(*sides, 50, 0.8):
+            runs = [grams(x, 8) for x in sides]
+            for seed in np.intersect1d(runs[0][s : e - 7], runs[1][u : v - 7]):
+                tried += 1
+                near = [chaining.around(chaining.numbered_pairs(x), np.flatnonzero(r == seed), 8, radius) for x, r in zip(sides, runs)]
+                found = chaining.close(np.array([5, 3]), np.array([True, False]), near, None, need)
+                assert found.tolist() == [[5, 3]]
+    assert tried > 1000
+
+
+def test_places_of_seeds_are_those_of_the_profile():
+    texts = [t for t in _odd_texts(80) if len(t.split()) >= 50]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts, pa.binary())], ["doc_id", "text"])
+    rows = [r for part in chaining._profiles(8, 12, 50)(iter([batch])) for r in part.to_pylist()]
+    for row in rows:
+        seeds, hashes = np.frombuffer(row["seeds"], np.int64), chaining.word_hashes(texts[row["doc_id"]])
+        runs, longer = grams(hashes, 8), chaining.long_runs(hashes, 39)
+        short = {int(r) & ~1 for r in chaining.winnow(runs, 12)}
+        seed, start, words = chaining.placed(hashes, seeds, 50)
+        assert {s for s, n in zip(seed.tolist(), words.tolist()) if n == 8} == short
+        assert {s for s, n in zip(seed.tolist(), words.tolist()) if n == 39} == {int(r) | 1 for r in chaining.winnow(longer, 12)}
+        assert all(int((runs if n == 8 else longer)[at]) >> 1 == s >> 1 for s, at, n in zip(seed.tolist(), start.tolist(), words.tolist()))
+
+
 def test_extensions_at_once_are_those_one_by_one():
     rng = np.random.default_rng(5)
     for _ in range(40):
